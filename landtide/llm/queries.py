@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import dac, packing, sharding
+from . import dac, mixing, packing, quality, sharding
 
 QUERIES = {
     "op1_minimax_sharding": sharding.op1,
     "op2_dp_packing": packing.op2,
+    "op3_poisson_mixing": mixing.op3,
+    "op4_rule_ledger": quality.op4,
     "op8_addressable_codes": dac.op8,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_poisson_mixing": mixing.SQL, "op4_rule_ledger": quality.SQL}

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,3 +52,12 @@ def discard(df: DataFrame) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, made by a one-row generator.
+
+    Unlike a projection, the optimizer doesn't fold a generator's expressions into later filters
+    or lambda functions, where they would be evaluated again for each use or each element.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
