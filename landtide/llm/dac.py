@@ -117,13 +117,12 @@ def _writer(folder: str, vocabulary: str, spaced: bool, end_id: int):
                     f.write(data)
                 held, n_held = [], 0
 
-            for batch in batches:
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    ids = enc.encode(text.as_py()) + end
-                    held.append((key, ids))
-                    n_docs, n_tokens, n_held = n_docs + 1, n_tokens + len(ids) // 4, n_held + len(ids) // 4
-                    if n_held >= SEGMENT_TOKENS:
-                        flush()
+            rows = ((key, text.as_py()) for batch in batches for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
+            for key, ids in tokens.encoded(enc, rows):
+                held.append((key, ids + end))
+                n_docs, n_tokens, n_held = n_docs + 1, n_tokens + len(ids) // 4 + 1, n_held + len(ids) // 4 + 1
+                if n_held >= SEGMENT_TOKENS:
+                    flush()
             flush()
             f.write(b"".join(struct.pack("<qq", *p) for p in places) + struct.pack("<q8s", len(places), MAGIC))
         if store.get_file_info(name).type != fs.FileType.NotFound:

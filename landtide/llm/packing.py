@@ -88,7 +88,7 @@ def sentence_tables(path: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _packer(path: str, limit: int, end_id: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = tokens.encoder(path, True), np.array([end_id], "<u4").tobytes()
+        enc, end_bytes = tokens.encoder(path, True), np.array([end_id], "<u4").tobytes()
         closes, opens = sentence_tables(path)
         sequence = TaskContext.get().partitionId() << 36
 
@@ -121,14 +121,14 @@ def _packer(path: str, limit: int, end_id: int):
             sequence += len(ends)
 
         keys, parts, held = [], [], 0
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                parts.append(enc.encode(text.as_py()) + end)
-                keys.append(key)
-                held += len(parts[-1]) // 4
-                if held >= BLOCK_TOKENS:
-                    yield from flush(keys, parts)
-                    keys, parts, held = [], [], 0
+        rows = ((key, text.as_py()) for batch in batches for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
+        for key, ids in tokens.encoded(enc, rows):
+            parts.append(ids + end_bytes)
+            keys.append(key)
+            held += len(ids) // 4 + 1
+            if held >= BLOCK_TOKENS:
+                yield from flush(keys, parts)
+                keys, parts, held = [], [], 0
         if parts:
             yield from flush(keys, parts)
 

@@ -1,24 +1,27 @@
 """Exact tokenisation with memoised chunks.
 
-A text is cut at blanks, where both vocabularies always have a token boundary, and each
-distinct chunk goes through the tokenizers library once per worker. Where a blank has
-white space on both sides that is not so, and the whole text goes through the library.
+A text is cut at blanks, where both vocabularies always have a token boundary, and each distinct
+chunk goes through the tokenizers library once per worker; new words of letters go through it
+together, in one string. Where a blank has white space on both sides the cut would not be exact,
+and the whole text goes through the library.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import islice
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Entries that a worker's memo holds, and the longest chunk it keeps. They bound memory only.
-MEMO_ENTRIES, MEMO_CHARS = 600_000, 48
+#: Entries that a worker's memo holds before it starts anew, and the
+#: characters of text encoded at a time. They bound memory only.
+MEMO_ENTRIES, SLICE_CHARS = 800_000, 3_000_000
 _INNER_BLANK = re.compile(r"\s \s")
-_BREAKS = str.maketrans("\n\t\r", "   ")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def vocabulary(name: str) -> str:
@@ -28,24 +31,88 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _even(text: str) -> bool:
+    """Has no blank of ``text`` white space on both sides?"""
+    if text.isascii() and "  " not in text and "\n " not in text and "\t " not in text and "\r " not in text:
+        return True
+    return not _INNER_BLANK.search(text)
+
+
 class _Memo(dict):
-    def __init__(self, tokenizer, prefix: str):
-        super().__init__()
-        self.tokenizer, self.prefix = tokenizer, prefix
+    """Chunk to ids, for chunks that follow ``before`` ("" at the start of a line, or a blank)."""
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(self.prefix + chunk, add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
-        if len(chunk) <= MEMO_CHARS and len(self) < MEMO_ENTRIES:
-            self[chunk] = out
-        return out
+    def __init__(self, tokenizer, before: str, spaced: bool):
+        super().__init__()
+        self.tokenizer, self.before, self.spaced = tokenizer, before, spaced
+        self.marks: dict[str, bytes] = {}
+        ids = tokenizer.get_vocab()
+        # the id that shows where each word of a joined string begins (spaced) or ends
+        self.joint = before if before or not spaced else "\n"
+        self.edge = np.zeros(max(ids.values()) + 1, bool)
+        for token, i in ids.items():
+            self.edge[i] = token.startswith("Ġ" if before else "Ċ") if spaced else token.endswith("</w>")
+
+    def _alone(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        joint = self.joint or " "
+        ids = np.array(self.tokenizer.encode_batch_fast([joint + joint.join(words)], add_special_tokens=False)[0].ids, "<u4")
+        edges = np.flatnonzero(self.edge[ids])
+        if len(edges) != len(words):
+            return ((w, self._alone(self.before + w)) for w in words)
+        data = ids.tobytes()
+        if not self.spaced:
+            first, last = [0, *(edges[:-1] + 1).tolist()], (edges + 1).tolist()
+        else:
+            first, last = (edges if self.before else edges + 1).tolist(), [*edges[1:].tolist(), len(ids)]
+        return ((w, data[4 * a : 4 * b]) for w, a, b in zip(words, first, last, strict=True))
+
+    def learn(self, chunks: set[str], lines: _Memo | None = None) -> None:
+        """Make every one of ``chunks`` known. lines: the memo for what follows a line break."""
+        if len(self) > MEMO_ENTRIES:
+            self.clear()
+            if lines is not None:
+                lines.clear()
+        words, marked, broken, rest = set(), [], [], []
+        for c in chunks.difference(self):
+            if c.isalpha():
+                words.add(c)
+                continue
+            base = c.rstrip(_MARKS)
+            if base.isalpha():
+                marked.append((c, base))
+                if base not in self:
+                    words.add(base)
+            elif lines is not None and "\n" in c and (parts := c.split()) == c.split("\n"):
+                broken.append((c, parts))
+            else:
+                rest.append(c)
+        if lines is not None and broken:
+            self.learn({p[0] for _, p in broken})
+            lines.learn(set(chain.from_iterable(p[1:] for _, p in broken)))
+            line_break = self._alone("\n")
+            for c, p in broken:
+                self[c] = line_break.join([self[p[0]], *map(lines.__getitem__, p[1:])])
+        listed = list(words)
+        for i in range(0, len(listed), 20_000):
+            self.update(self._words(listed[i : i + 20_000]))
+        for c, base in marked:
+            tail = c[len(base) :]
+            if tail not in self.marks:
+                if len(self.marks) > 10_000:
+                    self.marks.clear()
+                self.marks[tail] = self._alone(tail)
+            self[c] = self[base] + self.marks[tail]
+        for c in rest:
+            self[c] = self._alone(self.before + c)
 
 
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids, as the library itself would.
 
     spaced: a blank belongs to the token after it (byte-level vocabularies); otherwise the
-    vocabulary drops white space.
+    vocabulary lowers case and drops white space.
     """
 
     def __init__(self, path: str, spaced: bool):
@@ -54,15 +121,37 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
-        self.first, self.later = _Memo(self.tokenizer, ""), _Memo(self.tokenizer, " ")
+        self.first = _Memo(self.tokenizer, "", spaced)
+        self.later = _Memo(self.tokenizer, " ", spaced) if spaced else self.first
 
-    def encode(self, text: str) -> bytes:
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
         if not self.spaced:
-            return b"".join(map(self.first.__getitem__, text.translate(_BREAKS).split(" ")))
-        if _INNER_BLANK.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts = text.split(" ")
-        return self.first[parts[0]] + b"".join(map(self.later.__getitem__, islice(parts, 1, None)))
+            rows = [(t.lower() if t.isascii() else t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+            self.first.learn(set().union(*rows))
+            return [b"".join(map(self.first.__getitem__, r)) for r in rows]
+        cut = [None if not _even(t) else t.split(" ") for t in texts]
+        rows = [r for r in cut if r is not None]
+        self.first.learn({r[0] for r in rows}, None)
+        self.later.learn(set(chain.from_iterable(islice(r, 1, None) for r in rows)), self.first)
+        # learning at the start of lines may have begun the memo anew
+        self.first.learn({r[0] for r in rows}, None)
+        whole = self.first._alone
+        return [whole(t) if r is None else self.first[r[0]] + b"".join(map(self.later.__getitem__, islice(r, 1, None))) for t, r in zip(texts, cut, strict=True)]
+
+
+def encoded(encoder: Encoder, rows: Iterable[tuple]) -> Iterator[tuple[object, bytes]]:
+    """(key, ids) of each (key, text), a slice of text at a time."""
+    keys, texts, size = [], [], 0
+    for key, text in rows:
+        keys.append(key)
+        texts.append(text)
+        size += len(text)
+        if size >= SLICE_CHARS:
+            yield from zip(keys, encoder.encode_many(texts), strict=True)
+            keys, texts, size = [], [], 0
+    if keys:
+        yield from zip(keys, encoder.encode_many(texts), strict=True)
 
 
 _encoders: dict = {}
