@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +77,7 @@ def cut_points(ids: np.ndarray, ends: np.ndarray, closes: np.ndarray, opens: np.
     return pos, penalty[pos]
 
 
+@cache
 def sentence_tables(path: str) -> tuple[np.ndarray, np.ndarray]:
     """By id: does the token close a sentence, does it open one (it begins with white space)?"""
     vocabulary = tokens.encoder(path, True).tokenizer.get_vocab()

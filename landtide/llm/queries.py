@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import dac, mixing, packing, quality, sharding
+from . import dac, mixing, packing, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_minimax_sharding": sharding.op1,
     "op2_dp_packing": packing.op2,
     "op3_poisson_mixing": mixing.op3,
     "op4_rule_ledger": quality.op4,
+    "op5_covering_simhash": simhash.op5,
+    "op7_segment_toxicity": toxicity.op7,
     "op8_addressable_codes": dac.op8,
 }
 ORACLES: dict[str, str] = {"op3_poisson_mixing": mixing.SQL, "op4_rule_ledger": quality.SQL}

@@ -1,9 +1,9 @@
 """Exact tokenisation with memoised chunks.
 
-A text is cut at blanks, where both vocabularies always have a token boundary, and each distinct
-chunk goes through the tokenizers library once per worker; new words of letters go through it
-together, in one string. Where a blank has white space on both sides the cut would not be exact,
-and the whole text goes through the library.
+A text is cut at blanks and line breaks, where both vocabularies have a token boundary, and each
+distinct chunk goes through the tokenizers library once per worker; new words of letters go through
+it together, in one string. For the byte-level vocabulary that holds where white space stands alone;
+a text with a run of white space goes through the library whole.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Entries that a worker's memo holds before it starts anew, and the
 #: characters of text encoded at a time. They bound memory only.
 MEMO_ENTRIES, SLICE_CHARS = 800_000, 3_000_000
-_INNER_BLANK = re.compile(r"\s \s")
+_SPACES = re.compile(r"\s\s|^\s|\s\Z")
+_UNUSUAL = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -31,11 +32,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _even(text: str) -> bool:
-    """Has no blank of ``text`` white space on both sides?"""
-    if text.isascii() and "  " not in text and "\n " not in text and "\t " not in text and "\r " not in text:
-        return True
-    return not _INNER_BLANK.search(text)
+def _single(text: str) -> bool:
+    """Does white space in ``text`` only stand alone, between other characters?"""
+    if text.isascii() and not any(x in text for x in _UNUSUAL):
+        return not text or (not text[0].isspace() and not text[-1].isspace())
+    return not _SPACES.search(text)
 
 
 class _Memo(dict):
@@ -68,13 +69,11 @@ class _Memo(dict):
             first, last = (edges if self.before else edges + 1).tolist(), [*edges[1:].tolist(), len(ids)]
         return ((w, data[4 * a : 4 * b]) for w, a, b in zip(words, first, last, strict=True))
 
-    def learn(self, chunks: set[str], lines: _Memo | None = None) -> None:
-        """Make every one of ``chunks`` known. lines: the memo for what follows a line break."""
+    def learn(self, chunks: set[str]) -> None:
+        """Make every one of ``chunks`` known."""
         if len(self) > MEMO_ENTRIES:
             self.clear()
-            if lines is not None:
-                lines.clear()
-        words, marked, broken, rest = set(), [], [], []
+        words, marked, rest = set(), [], []
         for c in chunks.difference(self):
             if c.isalpha():
                 words.add(c)
@@ -84,16 +83,8 @@ class _Memo(dict):
                 marked.append((c, base))
                 if base not in self:
                     words.add(base)
-            elif lines is not None and "\n" in c and (parts := c.split()) == c.split("\n"):
-                broken.append((c, parts))
             else:
                 rest.append(c)
-        if lines is not None and broken:
-            self.learn({p[0] for _, p in broken})
-            lines.learn(set(chain.from_iterable(p[1:] for _, p in broken)))
-            line_break = self._alone("\n")
-            for c, p in broken:
-                self[c] = line_break.join([self[p[0]], *map(lines.__getitem__, p[1:])])
         listed = list(words)
         for i in range(0, len(listed), 20_000):
             self.update(self._words(listed[i : i + 20_000]))
@@ -130,14 +121,13 @@ class Encoder:
             rows = [(t.lower() if t.isascii() else t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
             self.first.learn(set().union(*rows))
             return [b"".join(map(self.first.__getitem__, r)) for r in rows]
-        cut = [None if not _even(t) else t.split(" ") for t in texts]
-        rows = [r for r in cut if r is not None]
-        self.first.learn({r[0] for r in rows}, None)
-        self.later.learn(set(chain.from_iterable(islice(r, 1, None) for r in rows)), self.first)
-        # learning at the start of lines may have begun the memo anew
-        self.first.learn({r[0] for r in rows}, None)
-        whole = self.first._alone
-        return [whole(t) if r is None else self.first[r[0]] + b"".join(map(self.later.__getitem__, islice(r, 1, None))) for t, r in zip(texts, cut, strict=True)]
+        first, later = self.first, self.later
+        cut = [[line.split(" ") for line in t.split("\n")] if _single(t) else None for t in texts]
+        rows = [r for lines in cut if lines is not None for r in lines]
+        first.learn({r[0] for r in rows})
+        later.learn(set(chain.from_iterable(islice(r, 1, None) for r in rows)))
+        line_break, whole = first._alone("\n"), first._alone
+        return [whole(t) if lines is None else line_break.join([first[r[0]] + b"".join(map(later.__getitem__, islice(r, 1, None))) for r in lines]) for t, lines in zip(texts, cut, strict=True)]
 
 
 def encoded(encoder: Encoder, rows: Iterable[tuple]) -> Iterator[tuple[object, bytes]]:
