@@ -4,8 +4,8 @@ Documents are one stream of tokens in input order. A window (a sequence) ends at
 or a sentence's end; only a stretch of more than STRETCH tokens without either gets further
 cut points. A window costs its padding plus a penalty where it cuts a document. With f the least
 cost up to a cut point, f(j) = pen(j) + L - pos(j) + min(f(i) + pos(i)) over the points i within
-L tokens, a sliding minimum kept in a monotone queue; windows of a power of two of tokens carry no
-padding and are looked up directly.
+L tokens, a sliding minimum kept in a monotone queue; windows of a power of two of
+tokens, from LEAST_POWER, carry no padding and are looked up directly.
 
 Partitions are packed one by one without a shuffle, in blocks of BLOCK_TOKENS, so memory is bounded
 and a lost task is simply run again.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from . import tokens
 from .shared import table
 
-BLOCK_TOKENS, STRETCH, STEP = 1_000_000, 192, 64
+BLOCK_TOKENS, STRETCH, STEP, LEAST_POWER = 1_000_000, 192, 64, 128
 SENTENCE_PENALTY, STRETCH_PENALTY, SEQUENCE_COST = 2.0, 24.0, 1.0
 PIECES = "row_no long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -34,7 +34,7 @@ PIECES = "row_no long, start long, length long, doc_tokens long, sequence_id lon
 def best_cuts(pos: np.ndarray, penalty: np.ndarray, limit: int) -> list[int]:
     """Indices into ``pos`` of the window ends that cost least. pos[0] is 0, no gap exceeds ``limit``."""
     place = {p: i for i, p in enumerate(pos.tolist())}
-    powers = [1 << k for k in range(4, limit.bit_length()) if 1 << k < limit]
+    powers = [1 << k for k in range(limit.bit_length()) if LEAST_POWER <= 1 << k < limit]
     p, pen = pos.tolist(), penalty.tolist()
     cost, back = [0.0] * len(p), [0] * len(p)
     queue: deque = deque([(0.0, 0)])  # (cost + position, index), increasing in both

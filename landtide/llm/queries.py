@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import dac, mixing, packing, quality, sharding, simhash, toxicity
+from . import dac, mixing, packing, pii, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_minimax_sharding": sharding.op1,
@@ -12,5 +12,6 @@ QUERIES = {
     "op5_covering_simhash": simhash.op5,
     "op7_segment_toxicity": toxicity.op7,
     "op8_addressable_codes": dac.op8,
+    "op9_information_pii": pii.op9,
 }
 ORACLES: dict[str, str] = {"op3_poisson_mixing": mixing.SQL, "op4_rule_ledger": quality.SQL}

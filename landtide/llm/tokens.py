@@ -8,8 +8,8 @@ a text with a run of white space goes through the library whole.
 
 from __future__ import annotations
 
+import gc
 import os
-import re
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 
@@ -20,8 +20,6 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Entries that a worker's memo holds before it starts anew, and the
 #: characters of text encoded at a time. They bound memory only.
 MEMO_ENTRIES, SLICE_CHARS = 800_000, 3_000_000
-_SPACES = re.compile(r"\s\s|^\s|\s\Z")
-_UNUSUAL = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -32,13 +30,6 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _single(text: str) -> bool:
-    """Does white space in ``text`` only stand alone, between other characters?"""
-    if text.isascii() and not any(x in text for x in _UNUSUAL):
-        return not text or (not text[0].isspace() and not text[-1].isspace())
-    return not _SPACES.search(text)
-
-
 class _Memo(dict):
     """Chunk to ids, for chunks that follow ``before`` ("" at the start of a line, or a blank)."""
 
@@ -69,11 +60,11 @@ class _Memo(dict):
             first, last = (edges if self.before else edges + 1).tolist(), [*edges[1:].tolist(), len(ids)]
         return ((w, data[4 * a : 4 * b]) for w, a, b in zip(words, first, last, strict=True))
 
-    def learn(self, chunks: set[str]) -> None:
-        """Make every one of ``chunks`` known."""
+    def learn(self, chunks: set[str]) -> set[str]:
+        """Make every one of ``chunks`` known; returns those with white space at an end, which stay unknown if spaced."""
         if len(self) > MEMO_ENTRIES:
             self.clear()
-        words, marked, rest = set(), [], []
+        words, marked, rest, bad = set(), [], [], set()
         for c in chunks.difference(self):
             if c.isalpha():
                 words.add(c)
@@ -83,11 +74,13 @@ class _Memo(dict):
                 marked.append((c, base))
                 if base not in self:
                     words.add(base)
+            elif self.spaced and (c[0].isspace() or c[-1].isspace()):
+                bad.add(c)
             else:
                 rest.append(c)
         listed = list(words)
-        for i in range(0, len(listed), 20_000):
-            self.update(self._words(listed[i : i + 20_000]))
+        for i in range(0, len(listed), 1_000):
+            self.update(self._words(listed[i : i + 1_000]))
         for c, base in marked:
             tail = c[len(base) :]
             if tail not in self.marks:
@@ -97,6 +90,7 @@ class _Memo(dict):
             self[c] = self[base] + self.marks[tail]
         for c in rest:
             self[c] = self._alone(self.before + c)
+        return bad
 
 
 class Encoder:
@@ -122,10 +116,14 @@ class Encoder:
             self.first.learn(set().union(*rows))
             return [b"".join(map(self.first.__getitem__, r)) for r in rows]
         first, later = self.first, self.later
-        cut = [[line.split(" ") for line in t.split("\n")] if _single(t) else None for t in texts]
+        cut: list = [[line.split(" ") for line in t.split("\n")] for t in texts]
+        for i, lines in enumerate(cut):
+            if any("" in r for r in lines):  # two blanks or breaks side by side, or one at an end
+                cut[i] = None
         rows = [r for lines in cut if lines is not None for r in lines]
-        first.learn({r[0] for r in rows})
-        later.learn(set(chain.from_iterable(islice(r, 1, None) for r in rows)))
+        bad = first.learn({r[0] for r in rows}) | later.learn(set(chain.from_iterable(islice(r, 1, None) for r in rows)))
+        if bad:  # other white space beside a blank or break
+            cut = [None if lines is None or any(not bad.isdisjoint(r) for r in lines) else lines for lines in cut]
         line_break, whole = first._alone("\n"), first._alone
         return [whole(t) if lines is None else line_break.join([first[r[0]] + b"".join(map(later.__getitem__, islice(r, 1, None))) for r in lines]) for t, lines in zip(texts, cut, strict=True)]
 
@@ -151,5 +149,6 @@ def encoder(path: str, spaced: bool) -> Encoder:
     """One encoder for each vocabulary in a worker process."""
     key = (path, spaced)
     if key not in _encoders:
+        gc.set_threshold(100_000)  # the memo and the lists of chunks hold no cycles
         _encoders[key] = Encoder(path, spaced)
     return _encoders[key]
