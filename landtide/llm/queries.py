@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import dac, mixing, packing, pii, quality, sharding, simhash, toxicity
+from . import ann, dac, mixing, packing, pii, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_minimax_sharding": sharding.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_poisson_mixing": mixing.op3,
     "op4_rule_ledger": quality.op4,
     "op5_covering_simhash": simhash.op5,
+    "op6_posting_lists": ann.op6,
     "op7_segment_toxicity": toxicity.op7,
     "op8_addressable_codes": dac.op8,
     "op9_information_pii": pii.op9,
