@@ -213,6 +213,7 @@ def nearest(rows: DataFrame, is_query, top: int = 20, key: str = "vec_id", vecto
 def _best(queries: pa.RecordBatch, paths: list[str], top: int) -> Iterator[pa.RecordBatch]:
     """The best of the entries in a group's files for each query, over the lists that it selected."""
     q, names = _matrix(queries.column(2)).astype("f8"), queries.column(1).to_numpy()
+    keep = REPLICAS * (top + 1)  # an entry may lie in so many lists
     wanted: dict[int, list[int]] = {}
     for i, lists in enumerate(queries.column(3).to_pylist()):
         for k in lists:
@@ -236,8 +237,8 @@ def _best(queries: pa.RecordBatch, paths: list[str], top: int) -> Iterator[pa.Re
                         s = np.concatenate([s, scores[row, best[row]]])
                         known = known + [(ids, int(part[j])) for j in best[row].tolist()]
                         vectors = np.concatenate([vectors, x[part[best[row]]]])
-                        if len(s) > 8 * (top + 1):
-                            cut = np.argpartition(-s, 2 * (top + 1))[: 2 * (top + 1)]
+                        if len(s) > 4 * keep:
+                            cut = np.argpartition(-s, keep)[:keep]
                             s, known, vectors = s[cut], [known[j] for j in cut.tolist()], vectors[cut]
                         kept[i] = (s, known, vectors)
     out_q, out_v, out_s = [], [], []
