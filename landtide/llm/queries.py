@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, dac, mixing, packing, pii, quality, sharding, simhash, toxicity
+from . import ann, dac, mixing, packing, pii, quality, sharding, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_minimax_sharding": sharding.op1,
@@ -14,5 +14,6 @@ QUERIES = {
     "op7_segment_toxicity": toxicity.op7,
     "op8_addressable_codes": dac.op8,
     "op9_information_pii": pii.op9,
+    "op10_suffix_family": suffixes.op10,
 }
 ORACLES: dict[str, str] = {"op3_poisson_mixing": mixing.SQL, "op4_rule_ledger": quality.SQL}
