@@ -188,7 +188,7 @@ def nearest(rows: DataFrame, is_query, top: int = 20, key: str = "vec_id", vecto
                 yield pa.RecordBatch.from_arrays([pa.array([g for _, g, _ in rows_], pa.int32()), b.column(0).take(take), b.column(1).take(take), pa.array([f.tolist() for _, _, f in rows_], pa.list_(pa.int32()))], ["g", "query_id", "q", "lists"])
 
     order = F.xxhash64("v")
-    posted = distinct.mapInArrow(post, "g int, list int, v array<float>, ids array<long>")
+    posted = stash(distinct.mapInArrow(post, "g int, list int, v array<float>, ids array<long>"), "posted")
     placed = posted.repartitionByRange("g", "list", order).sortWithinPartitions("g", "list", order)
     paths: dict[int, list[str]] = {}
     for r in sorted(placed.mapInArrow(write, "g int, path string").collect()):
@@ -214,41 +214,43 @@ def _best(queries: pa.RecordBatch, paths: list[str], top: int) -> Iterator[pa.Re
     """The best of the entries in a group's files for each query, over the lists that it selected."""
     q, names = _matrix(queries.column(2)).astype("f8"), queries.column(1).to_numpy()
     keep = REPLICAS * (top + 1)  # an entry may lie in so many lists
-    wanted: dict[int, list[int]] = {}
-    for i, lists in enumerate(queries.column(3).to_pylist()):
-        for k in lists:
-            wanted.setdefault(k, []).append(i)
-    kept: list[tuple] = [(np.zeros(0, "f8"), [], np.zeros((0, q.shape[1]), "f4"))] * len(q)
+    chosen = np.zeros((len(q), GROUP_LISTS), bool)
+    lists = queries.column(3)
+    chosen[np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy() % GROUP_LISTS] = True
+    best = np.full((len(q), 0), 0.0)
+    where: np.ndarray = np.zeros((len(q), 0), "i8")
+    vectors, ids, held = [], [], 0
     for path in paths:
         store, name = fs.FileSystem.from_uri(path)
         with store.open_input_stream(name) as f, pa.ipc.open_stream(f) as blocks:
             for block in blocks:
-                place, x, ids = block.column(1).to_numpy(), _matrix(block.column(2)), block.column(3)
-                for part in np.split(np.arange(len(place)), np.flatnonzero(place[1:] != place[:-1]) + 1):
-                    who = wanted.get(int(place[part[0]]), []) if len(part) else []
-                    if not who:
-                        continue
-                    own = x[part].astype("f8")
-                    scores = q[who] @ own.T
-                    n = min(top + 1, len(part))
-                    best = np.argpartition(-scores, n - 1, 1)[:, :n]
-                    for row, i in enumerate(who):
-                        s, known, vectors = kept[i]
-                        s = np.concatenate([s, scores[row, best[row]]])
-                        known = known + [(ids, int(part[j])) for j in best[row].tolist()]
-                        vectors = np.concatenate([vectors, x[part[best[row]]]])
-                        if len(s) > 4 * keep:
-                            cut = np.argpartition(-s, keep)[:keep]
-                            s, known, vectors = s[cut], [known[j] for j in cut.tolist()], vectors[cut]
-                        kept[i] = (s, known, vectors)
+                x = _matrix(block.column(2))
+                scores = np.where(chosen[:, block.column(1).to_numpy() % GROUP_LISTS], q @ x.T.astype("f8"), -np.inf)
+                if len(x) > keep:
+                    cut = np.argpartition(-scores, keep - 1, 1)[:, :keep]
+                    scores = np.take_along_axis(scores, cut, 1)
+                else:
+                    cut = np.broadcast_to(np.arange(len(x)), scores.shape)
+                # only the entries that some query keeps stay in memory
+                used, place = np.unique(cut, return_inverse=True)
+                vectors.append(x[used])
+                ids.append(block.column(3).take(pa.array(used)))
+                best, where = np.concatenate([best, scores], 1), np.concatenate([where, place.reshape(cut.shape) + held], 1)
+                held += len(used)
+                if best.shape[1] > keep:
+                    cut = np.argpartition(-best, keep - 1, 1)[:, :keep]
+                    best, where = np.take_along_axis(best, cut, 1), np.take_along_axis(where, cut, 1)
     out_q, out_v, out_s = [], [], []
-    for i, (_, known, vectors) in enumerate(kept):
-        exact = np.einsum("ij,j->i", vectors.astype("f8"), q[i]) if len(known) else np.zeros(0)
-        rows = {(v, float(s)) for (ids, j), s in zip(known, exact, strict=True) for v in ids[j].as_py() if v != names[i]}
-        for v, s in sorted(rows, key=lambda r: (-r[1], r[0]))[:top]:
-            out_q.append(int(names[i]))
-            out_v.append(v)
-            out_s.append(s)
+    if held:
+        x, known = np.concatenate(vectors), [i for part in ids for i in part.to_pylist()]
+        for i in range(len(q)):
+            mine = where[i][np.isfinite(best[i])]
+            exact = np.einsum("ij,j->i", x[mine].astype("f8"), q[i])
+            rows = {(v, s) for j, s in zip(mine.tolist(), exact.tolist(), strict=True) for v in known[j] if v != names[i]}
+            for v, s in sorted(rows, key=lambda r: (-r[1], r[0]))[:top]:
+                out_q.append(int(names[i]))
+                out_v.append(v)
+                out_s.append(s)
     yield pa.RecordBatch.from_arrays([pa.array(out_q, pa.int64()), pa.array(out_v, pa.int64()), pa.array(out_s, pa.float64())], ["query_id", "vec_id", "score"])
 
 
