@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .shared import discard, stash, table
 
-LENGTH, K, SLICE = 200, 64, 1_000_000
+LENGTH, K, SLICE = 200, 64, 250_000
 #: Entries of one anchor that are compared in memory, and numbers of anchors that are broadcast; more go by shuffles.
 GROUP_ROWS, BROADCAST_ANCHORS = 50_000, 2_000_000
 _BITS = np.uint64((1 << 21) - 1)
@@ -116,8 +116,17 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[byte
         yield keys, parts
 
 
+def _places(m: np.ndarray, c: np.ndarray, doc_id: np.ndarray, h: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """One number for an entry. An entry that shares its number with a wanted one is compared too, which does no harm: its text is there."""
+    out = np.zeros(len(m), "u8")
+    with np.errstate(over="ignore"):
+        for x in (m, c, doc_id, h, a):
+            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + x.view("u8"))
+    return out
+
+
 def _entries(wanted=None):
-    """The entries of texts; with ``wanted`` (a broadcast of sorted anchors, or of None for all) only those, with their bytes."""
+    """The entries of texts; with ``wanted`` (a broadcast of sorted places and of what is open, or of None for all) only those, with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only = wanted.value if wanted is not None else None
@@ -126,18 +135,23 @@ def _entries(wanted=None):
             lengths = np.array([len(p) for p in parts], "i8")
             m, c, first, count = runs(np.frombuffer(data, "u1"), lengths)
             m, c = m.view("i8"), c.view("i8") ^ count
-            order = np.argsort(m, kind="stable")
-            if only is not None:
-                order = order[only[np.minimum(np.searchsorted(only, m[order]), len(only) - 1)] == m[order]]
-            m, c, first, count = m[order], c[order], first[order], count[order]
             ends = np.cumsum(lengths)
             text = np.searchsorted(ends, first, "right")
             own = first - (ends - lengths)[text] + np.array([k[2] for k in keys], "i8")[text]
-            columns = [pa.array(m), pa.array(c), pa.array([k[0] for k in keys], pa.int64()).take(pa.array(text)), pa.array([k[1] for k in keys], pa.int64()).take(pa.array(text)), pa.array(own), pa.array(count.astype("i4"))]
+            doc_id, h = (pa.array([k[j] for k in keys], pa.int64()) for j in (0, 1))
+            order = np.argsort(m, kind="stable")
+            if only is not None:
+                places, is_open = only
+                mine = _places(m, c, doc_id.fill_null(0).to_numpy()[text], h.to_numpy()[text], own)[order]
+                at = np.minimum(np.searchsorted(places, mine), len(places) - 1)
+                good = places[at] == mine
+                order, at = order[good], at[good]
+            m, c, first, count, text, own = m[order], c[order], first[order], count[order], pa.array(text[order]), own[order]
+            columns = [pa.array(m), pa.array(c), doc_id.take(text), h.take(text), pa.array(own), pa.array(count.astype("i4"))]
             names = ["m", "c", "doc_id", "h", "a", "n"]
             if wanted is not None:
-                columns.append(pa.array([data[a : a + k + LENGTH - 1] for a, k in zip(first.tolist(), count.tolist(), strict=True)], pa.binary()))
-                names.append("bytes")
+                columns += [pa.array(is_open[at]) if only is not None else pa.nulls(len(m), pa.bool_()), pa.array([data[a : a + k + LENGTH - 1] for a, k in zip(first.tolist(), count.tolist(), strict=True)], pa.binary())]
+                names += ["open", "bytes"]
             out = pa.RecordBatch.from_arrays(columns, names)
             for lo in range(0, len(out), 10_000):
                 yield out.slice(lo, 10_000)
@@ -218,6 +232,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from resolve(joined())
 
 
+def _maybe_broadcast(df: DataFrame) -> DataFrame:
+    """``df``, a stashed table of keys or a part of one, broadcast if it is small enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ANCHORS else df
+
+
 class Family:
     """The levels of entries, and what they show to be covered.
 
@@ -234,34 +253,45 @@ class Family:
         """Take in a batch (doc_id, h, b) and cover its repeats, and those of earlier batches that it brings to light."""
         batch = stash(texts.filter(F.length("b") >= LENGTH).mapInArrow(_entries(), ENTRY), "suffixes")
         self.texts = texts if self.texts is None else self.texts.unionAll(texts)
-        entries = batch.withColumn("new", F.lit(True))
+        entries = batch.select("m")
+        fresh = F.count("*") > 1
+        if self.levels:
+            entries = entries.withColumn("new", F.lit(True))
+            for _, level in self.levels:
+                entries = entries.unionAll(level.select("m", F.lit(False).alias("new")))
+            fresh = fresh & F.max("new")
+        anchors = stash(entries.groupBy("m").agg(fresh.alias("ok")).filter("ok").select("m"), "anchors")
+        every = batch
         for _, level in self.levels:
-            entries = entries.unionAll(level.withColumn("new", F.lit(False)))
-        anchors = entries.groupBy("m").agg(F.count("*").alias("k"), F.max("new").alias("new")).filter("k > 1 and new").select("m")
-        shared = stash(self._small(entries, anchors), "shared-anchors")
+            every = every.unionAll(level)
+        shared = stash(every.join(_maybe_broadcast(anchors), "m", "left_semi"), "shared-anchors")
         runs_ = stash(shared.groupBy("m", "c").agg(F.count("*").alias("k"), F.min(F.struct("doc_id", "h", "a", "n")).alias("one")), "runs")
-        found = shared.join(runs_.filter("k > 1").select("m", "c"), ["m", "c"]).select("doc_id", "h", F.col("a").alias("s"), (F.col("a") + F.col("n") + LENGTH - 1).alias("e"))
+        # runs that occur once are few among the shared ones; the others are covered whole
+        single = runs_.filter("k = 1").select("m", "c")
+        found = shared.join(_maybe_broadcast(single), ["m", "c"], "left_anti").select("doc_id", "h", F.col("a").alias("s"), (F.col("a") + F.col("n") + LENGTH - 1).alias("e"))
         mixed_ = runs_.groupBy("m").agg(F.count("*").alias("k"), F.min("k").alias("least")).filter("k > 1 and least = 1").select("m")
         found = found.unionAll(self._window_by_window(runs_, mixed_))
         found = stash(found, "covered")
         self.covered = found if self.covered is None else self.covered.unionAll(found)
         self._merge(batch)
 
-    def _small(self, entries: DataFrame, anchors: DataFrame) -> DataFrame:
-        kept = stash(anchors, "anchors")
-        return entries.join(F.broadcast(kept) if kept.count() <= BROADCAST_ANCHORS else kept, "m", "left_semi").drop("new")
-
     def _window_by_window(self, runs_: DataFrame, anchors: DataFrame) -> DataFrame:
-        kept = stash(anchors, "mixed-anchors")
-        n = kept.count()
-        listed = np.sort(kept.toPandas()["m"].to_numpy("i8")) if 0 < n <= BROADCAST_ANCHORS else None
+        one = stash(runs_.join(anchors, "m", "left_semi").select("m", "c", "one.doc_id", "one.h", "one.a", (F.col("k") == 1).alias("open")), "compared")
+        n = one.count()
+        listed = None
+        if 0 < n <= BROADCAST_ANCHORS:
+            got = one.select("m", "c", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "h", "a", "open").toPandas()
+            places = _places(*(got[k].to_numpy("i8") for k in ("m", "c", "doc_id", "h", "a")))
+            order = np.argsort(places)
+            listed = places[order], got["open"].to_numpy("bool")[order]
         wanted = self.spark.sparkContext.broadcast(listed)
-        with_bytes = self.texts.filter(F.length("b") >= LENGTH).mapInArrow(_entries(wanted), ENTRY + ", bytes binary")
+        chosen = self.texts.filter(F.length("b") >= LENGTH).mapInArrow(_entries(wanted), ENTRY + ", open boolean, bytes binary")
         if not n:
-            with_bytes = with_bytes.limit(0)
-        one = runs_.join(kept, "m", "left_semi").select("m", "c", "one.*", (F.col("k") == 1).alias("open")).withColumnRenamed("n", "n1")
-        same = [with_bytes["m"] == one["m"], with_bytes["c"] == one["c"], with_bytes["doc_id"].eqNullSafe(one["doc_id"]), with_bytes["h"] == one["h"], with_bytes["a"] == one["a"]]
-        chosen = with_bytes.join(one, same).select(one["m"], "open", one["doc_id"], one["h"], one["a"], "bytes").distinct()
+            chosen = chosen.limit(0)
+        elif listed is None:
+            same = [chosen["m"] == one["m"], chosen["c"] == one["c"], chosen["doc_id"].eqNullSafe(one["doc_id"]), chosen["h"] == one["h"], chosen["a"] == one["a"]]
+            chosen = chosen.drop("open").join(one, same).select(one["m"], one["doc_id"], one["h"], one["a"], "open", "bytes")
+        chosen = chosen.select("m", "open", "doc_id", "h", "a", "bytes")
         rows = chosen.repartition("m").sortWithinPartitions("m")
         done = stash(rows.mapInArrow(_compare, "kind byte, open boolean, z1 long, z2 long, doc_id long, h long, s long, e long"), "windows")
         large = done.filter("kind = 1")
