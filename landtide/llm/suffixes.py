@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from .shared import discard, stash, table
 
 LENGTH, K, SLICE = 200, 64, 250_000
-#: Entries of one anchor that are compared in memory, and numbers of anchors that are broadcast; more go by shuffles.
-GROUP_ROWS, BROADCAST_ANCHORS = 50_000, 2_000_000
+#: Entries of one anchor that are compared in memory; more go by shuffles.
+GROUP_ROWS = 50_000
+#: Words of 64 bits in a bitmap of hashes (4 MB). It is the only thing that is broadcast, of one size
+#: for any input, and it lets through more than it must, never less.
+WORDS = 1 << 19
 _BITS = np.uint64((1 << 21) - 1)
 ENTRY = "m long, c long, doc_id long, h long, a long, n int"
 
@@ -117,7 +120,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[byte
 
 
 def _places(m: np.ndarray, c: np.ndarray, doc_id: np.ndarray, h: np.ndarray, a: np.ndarray) -> np.ndarray:
-    """One number for an entry. An entry that shares its number with a wanted one is compared too, which does no harm: its text is there."""
+    """One number for each entry."""
     out = np.zeros(len(m), "u8")
     with np.errstate(over="ignore"):
         for x in (m, c, doc_id, h, a):
@@ -126,7 +129,7 @@ def _places(m: np.ndarray, c: np.ndarray, doc_id: np.ndarray, h: np.ndarray, a:
 
 
 def _entries(wanted=None):
-    """The entries of texts; with ``wanted`` (a broadcast of sorted places and of what is open, or of None for all) only those, with their bytes."""
+    """The entries of texts; with ``wanted`` (a broadcast bitmap of places) only those that it holds, with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only = wanted.value if wanted is not None else None
@@ -141,17 +144,14 @@ def _entries(wanted=None):
             doc_id, h = (pa.array([k[j] for k in keys], pa.int64()) for j in (0, 1))
             order = np.argsort(m, kind="stable")
             if only is not None:
-                places, is_open = only
-                mine = _places(m, c, doc_id.fill_null(0).to_numpy()[text], h.to_numpy()[text], own)[order]
-                at = np.minimum(np.searchsorted(places, mine), len(places) - 1)
-                good = places[at] == mine
-                order, at = order[good], at[good]
+                z = _places(m, c, doc_id.fill_null(0).to_numpy()[text], h.to_numpy()[text], own)[order]
+                order = order[(only[z & np.uint64(WORDS - 1)] >> ((z >> np.uint64(32)) & np.uint64(63))) & np.uint64(1) == 1]
             m, c, first, count, text, own = m[order], c[order], first[order], count[order], pa.array(text[order]), own[order]
             columns = [pa.array(m), pa.array(c), doc_id.take(text), h.take(text), pa.array(own), pa.array(count.astype("i4"))]
             names = ["m", "c", "doc_id", "h", "a", "n"]
             if wanted is not None:
-                columns += [pa.array(is_open[at]) if only is not None else pa.nulls(len(m), pa.bool_()), pa.array([data[a : a + k + LENGTH - 1] for a, k in zip(first.tolist(), count.tolist(), strict=True)], pa.binary())]
-                names += ["open", "bytes"]
+                columns.append(pa.array([data[a : a + k + LENGTH - 1] for a, k in zip(first.tolist(), count.tolist(), strict=True)], pa.binary()))
+                names.append("bytes")
             out = pa.RecordBatch.from_arrays(columns, names)
             for lo in range(0, len(out), 10_000):
                 yield out.slice(lo, 10_000)
@@ -160,7 +160,7 @@ def _entries(wanted=None):
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (m, open, doc_id, h, a, bytes) sorted by m: covered stretches of the open ones (kind 0), or all windows of a group too large for memory (kind 1)."""
+    """Rows (m, doc_id, h, a, bytes) sorted by m: stretches that occur twice (kind 0), or all windows of a group too large for memory (kind 1)."""
     held: list[pa.RecordBatch] = []
     size, hot = 0, None
 
@@ -182,7 +182,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out(kind: int, rows: pa.RecordBatch, row: np.ndarray, z1, z2, start, end) -> pa.RecordBatch:
         take = pa.array(row)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(row), kind, "i1")), rows.column("open").take(take), pa.array(z1), pa.array(z2), rows.column("doc_id").take(take), rows.column("h").take(take), pa.array(start), pa.array(end)], ["kind", "open", "z1", "z2", "doc_id", "h", "s", "e"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(row), kind, "i1")), pa.array(z1), pa.array(z2), rows.column("doc_id").take(take), rows.column("h").take(take), pa.array(start), pa.array(end)], ["kind", "z1", "z2", "doc_id", "h", "s", "e"])
 
     def spread(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(rows), 2_000):
@@ -197,7 +197,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = np.zeros(len(row), bool)
         twice[order[1:][same]] = True
         twice[order[:-1][same]] = True
-        hit = np.flatnonzero(twice & rows.column("open").to_numpy(zero_copy_only=False)[row])
+        hit = np.flatnonzero(twice)
         first = np.flatnonzero(np.concatenate([[True], (np.diff(hit) != 1) | (row[hit][1:] != row[hit][:-1])])) if len(hit) else hit
         last = np.append(first[1:], len(hit)) - 1 if len(hit) else hit
         none = np.zeros(len(first), "i8")
@@ -232,9 +232,23 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from resolve(joined())
 
 
-def _maybe_broadcast(df: DataFrame) -> DataFrame:
-    """``df``, a stashed table of keys or a part of one, broadcast if it is small enough."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ANCHORS else df
+def _word(z: Column) -> Column:
+    return z.bitwiseAND(F.lit(WORDS - 1))
+
+
+def _bit(z: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(z, 32).bitwiseAND(F.lit(63)).cast("int"))
+
+
+def bitmap(hashes: DataFrame, z: Column) -> DataFrame:
+    """word and bits of a table of hashes, at most WORDS rows."""
+    return stash(hashes.groupBy(_word(z).alias("word")).agg(F.bit_or(_bit(z)).alias("bits")), "bitmap")
+
+
+def _marked(rows: DataFrame, bits: DataFrame, z: Column) -> DataFrame:
+    """``rows`` with __in: may the bitmap hold the hash?"""
+    found = rows.withColumn("__z", z).withColumn("word", _word(F.col("__z"))).join(F.broadcast(bits), "word", "left")
+    return found.withColumn("__in", F.coalesce(F.col("bits").bitwiseAND(_bit(F.col("__z"))) != 0, F.lit(False))).drop("word", "bits", "__z")
 
 
 class Family:
@@ -264,11 +278,14 @@ class Family:
         every = batch
         for _, level in self.levels:
             every = every.unionAll(level)
-        shared = stash(every.join(_maybe_broadcast(anchors), "m", "left_semi"), "shared-anchors")
+        likely = _marked(every, bitmap(anchors, F.xxhash64("m")), F.xxhash64("m")).filter("__in").drop("__in")
+        shared = stash(likely.join(anchors.hint("shuffle_hash"), "m", "left_semi"), "shared-anchors")
         runs_ = stash(shared.groupBy("m", "c").agg(F.count("*").alias("k"), F.min(F.struct("doc_id", "h", "a", "n")).alias("one")), "runs")
-        # runs that occur once are few among the shared ones; the others are covered whole
+        # what the bitmap of runs that occur once doesn't hold occurs more often; of the rest a join tells
         single = runs_.filter("k = 1").select("m", "c")
-        found = shared.join(_maybe_broadcast(single), ["m", "c"], "left_anti").select("doc_id", "h", F.col("a").alias("s"), (F.col("a") + F.col("n") + LENGTH - 1).alias("e"))
+        told = _marked(shared, bitmap(single, F.xxhash64("m", "c")), F.xxhash64("m", "c"))
+        repeated = told.filter("not __in").drop("__in").unionByName(told.filter("__in").drop("__in").join(single, ["m", "c"], "left_anti"))
+        found = repeated.select("doc_id", "h", F.col("a").alias("s"), (F.col("a") + F.col("n") + LENGTH - 1).alias("e"))
         mixed_ = runs_.groupBy("m").agg(F.count("*").alias("k"), F.min("k").alias("least")).filter("k > 1 and least = 1").select("m")
         found = found.unionAll(self._window_by_window(runs_, mixed_))
         found = stash(found, "covered")
@@ -276,27 +293,23 @@ class Family:
         self._merge(batch)
 
     def _window_by_window(self, runs_: DataFrame, anchors: DataFrame) -> DataFrame:
-        one = stash(runs_.join(anchors, "m", "left_semi").select("m", "c", "one.doc_id", "one.h", "one.a", (F.col("k") == 1).alias("open")), "compared")
-        n = one.count()
-        listed = None
-        if 0 < n <= BROADCAST_ANCHORS:
-            got = one.select("m", "c", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "h", "a", "open").toPandas()
-            places = _places(*(got[k].to_numpy("i8") for k in ("m", "c", "doc_id", "h", "a")))
-            order = np.argsort(places)
-            listed = places[order], got["open"].to_numpy("bool")[order]
+        """Stretches that other runs with the same anchor repeat. Besides one entry of each run, the bitmap lets some others through, which are compared as well."""
+        one = runs_.join(anchors, "m", "left_semi").select("m", "c", F.coalesce("one.doc_id", F.lit(0)).cast("long").alias("doc_id"), "one.h", "one.a")
+
+        def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(_places(*(b.column(i).to_numpy() for i in range(5))).view("i8"))], ["z"])
+
+        bits = bitmap(one.mapInArrow(number, "z long"), F.col("z")).toArrow()
+        listed = np.zeros(WORDS, "u8")
+        listed[bits.column("word").to_numpy()] = bits.column("bits").to_numpy().view("u8")
         wanted = self.spark.sparkContext.broadcast(listed)
-        chosen = self.texts.filter(F.length("b") >= LENGTH).mapInArrow(_entries(wanted), ENTRY + ", open boolean, bytes binary")
-        if not n:
-            chosen = chosen.limit(0)
-        elif listed is None:
-            same = [chosen["m"] == one["m"], chosen["c"] == one["c"], chosen["doc_id"].eqNullSafe(one["doc_id"]), chosen["h"] == one["h"], chosen["a"] == one["a"]]
-            chosen = chosen.drop("open").join(one, same).select(one["m"], one["doc_id"], one["h"], one["a"], "open", "bytes")
-        chosen = chosen.select("m", "open", "doc_id", "h", "a", "bytes")
+        chosen = self.texts.filter(F.length("b") >= LENGTH).mapInArrow(_entries(wanted), ENTRY + ", bytes binary").select("m", "doc_id", "h", "a", "bytes")
         rows = chosen.repartition("m").sortWithinPartitions("m")
-        done = stash(rows.mapInArrow(_compare, "kind byte, open boolean, z1 long, z2 long, doc_id long, h long, s long, e long"), "windows")
+        done = stash(rows.mapInArrow(_compare, "kind byte, z1 long, z2 long, doc_id long, h long, s long, e long"), "windows")
         large = done.filter("kind = 1")
         twice = large.groupBy("z1", "z2").agg(F.count("*").alias("k")).filter("k > 1").select("z1", "z2")
-        return done.filter("kind = 0").select("doc_id", "h", "s", "e").unionAll(large.filter("open").join(twice, ["z1", "z2"]).select("doc_id", "h", "s", "e"))
+        return done.filter("kind = 0").select("doc_id", "h", "s", "e").unionAll(large.join(twice, ["z1", "z2"]).select("doc_id", "h", "s", "e"))
 
     def _merge(self, batch: DataFrame) -> None:
         rank = 0
