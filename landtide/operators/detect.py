@@ -71,6 +71,6 @@ def zonal_mean(cells: DataFrame, win: DataFrame, p: Params = PARAMS) -> DataFram
     """cells: alert, cell. The mean current index of an alert in each window; null where under half of its cells can be read."""
     sizes = cells.groupBy("alert").agg(F.count("*").alias("size"))
     good = cells.join(win, "cell").filter((F.col("q") > 0) & (F.col("n") >= p.least_obs))
-    got = good.groupBy("alert", "we").agg(F.avg(F.col("q") / 100.0 - 1.0).alias("m"), F.count("*").alias("k")).join(sizes, "alert")
+    got = good.groupBy("alert", "we").agg((F.avg("q") / 100.0 - 1.0).alias("m"), F.count("*").alias("k")).join(sizes, "alert")
     least = F.greatest(F.lit(1), F.floor(F.col("size") / 2))
-    return got.select("alert", "we", F.when(F.col("k") >= least, F.round("m", 3)).alias("ndvi"))
+    return got.select("alert", "we", F.when(F.col("k") >= least, F.round(F.col("m") + 1e-9, 3)).alias("ndvi"))

@@ -38,7 +38,7 @@ def kept_overlaps(parts: DataFrame, parcels: DataFrame, cell_m2: float = 100.0,
 def top_parcels(kept: DataFrame, p: Params = PARAMS) -> DataFrame:
     """The 40 parcels of each alert with most of it, by rounded hectares, and how many there are."""
     order = Window.partitionBy("alert").orderBy(F.desc("ha"), "parcel")
-    rows = kept.withColumn("ha", F.round(F.col("m2") / 10_000, 4))
+    rows = kept.withColumn("ha", F.round(F.col("m2") / 10_000 + 1e-9, 4))
     counted = rows.withColumn("k", F.row_number().over(order)).withColumn("n_parcels", F.count("*").over(Window.partitionBy("alert")))
     return counted.filter(F.col("k") <= p.top_parcels).select("alert", "parcel", "ha", "k", "n_parcels")
 

@@ -22,3 +22,12 @@ def checkpointed(spark: SparkSession) -> None:
     """See to a checkpoint folder: that of spark.checkpoint.dir, or a temporary one where it is unset."""
     if not spark.sparkContext.getConf().get("spark.checkpoint.dir") and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="landtide-"))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, as a URI; a temporary one where it is unset."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        found = getattr(spark, "_landtide_folder", None) or tempfile.mkdtemp(prefix="landtide-")
+        spark._landtide_folder = found
+    return found.rstrip("/") if ":" in found.split("/")[0] else f"file://{found.rstrip('/')}"
