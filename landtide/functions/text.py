@@ -88,5 +88,5 @@ def parcel_key(section: Column, number: Column) -> Column:
 def permit_number(kind: Column, number: Column) -> Column:
     """The official form: kind, department, commune, year, rest."""
     n = F.trim(number)
-    parts = F.concat_ws(" ", kind, F.concat(F.lit("0"), F.substring(n, 1, 2)), F.substring(n, 3, 3), F.substring(n, 6, 2), F.substr(n, F.lit(8)))
+    parts = F.concat_ws(" ", kind, F.substring(n, 1, 3), F.substring(n, 4, 3), F.substring(n, 7, 2), F.substr(n, F.lit(9)))
     return F.when(F.length(n) >= 13, parts).otherwise(F.concat_ws(" ", kind, n))

@@ -113,6 +113,6 @@ def rasterise(rings: DataFrame) -> DataFrame:
     rows = edges.filter(first <= last).withColumn("cy", F.explode(F.sequence(first, last)))
     x = F.col("a.x") + (F.col("cy") + 0.5 - F.col("a.y")) * (F.col("b.x") - F.col("a.x")) / (F.col("b.y") - F.col("a.y"))
     spans = rows.select("id", "cy", x.alias("x")).groupBy("id", "cy").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-    pairs = F.transform(F.sequence(F.lit(0), F.size("xs") / 2 - 1), lambda k: F.struct(F.ceil(F.get("xs", (2 * k).cast("int")) - 0.5).alias("lo"), (F.ceil(F.get("xs", (2 * k + 1).cast("int")) - 0.5) - 1).alias("hi")))
+    pairs = F.transform(F.sequence(F.lit(0), F.shiftright(F.size("xs"), 1) - 1), lambda k: F.struct(F.ceil(F.get("xs", 2 * k) - 0.5).alias("lo"), (F.ceil(F.get("xs", 2 * k + 1) - 0.5) - 1).alias("hi")))
     runs = spans.select("id", "cy", F.explode(pairs).alias("r")).filter("r.lo <= r.hi")
     return runs.select("id", F.col("cy").cast("long").alias("cy"), F.explode(F.sequence("r.lo", "r.hi")).alias("cx"))

@@ -493,9 +493,9 @@ def parcel_key(spark, d):
     return read(spark, d, "part").select("p_partkey", text.parcel_key(F.substr(F.col("p_brand"), F.lit(7)), F.col("p_partkey") % 300).alias("key"))
 
 
-@query("permit_number", "SELECT o_orderkey, 'PC 0' || substr(n, 1, 2) || ' ' || substr(n, 3, 3) || ' ' || substr(n, 6, 2) || ' ' || substr(n, 8) AS number FROM (SELECT o_orderkey, printf('64%03d%02dX%04d', o_custkey % 500, o_orderkey % 25, o_orderkey % 10000) || '0' AS n FROM orders)")
+@query("permit_number", "SELECT o_orderkey, 'PC ' || substr(n, 1, 3) || ' ' || substr(n, 4, 3) || ' ' || substr(n, 7, 2) || ' ' || substr(n, 9) AS number FROM (SELECT o_orderkey, printf('064%03d%02dX%04d', o_custkey % 500, o_orderkey % 25, o_orderkey % 10000) AS n FROM orders)")
 def permit_number(spark, d):
-    n = F.concat(F.format_string("64%03d%02dX%04d", F.col("o_custkey") % 500, F.col("o_orderkey") % 25, F.col("o_orderkey") % 10000), F.lit("0"))
+    n = F.format_string("064%03d%02dX%04d", F.col("o_custkey") % 500, F.col("o_orderkey") % 25, F.col("o_orderkey") % 10000)
     return read(spark, d, "orders").select("o_orderkey", text.permit_number(F.lit("PC"), n).alias("number"))
 
 

@@ -56,7 +56,7 @@ def atom_index(spark: SparkSession, path: str) -> DataFrame:
 def layer_years(capabilities: DataFrame, column: str = "text") -> DataFrame:
     """Years of the declaration layers that a capabilities document lists."""
     found = F.regexp_extract_all(F.col(column), F.lit(r"RPG\.(\d{4}):parcelles_graphiques"), F.lit(1))
-    return capabilities.select(F.explode(found).cast("int").alias("year")).distinct()
+    return capabilities.select(F.explode(F.transform(found, lambda y: y.cast("int"))).alias("year")).distinct()
 
 
 def observatory(spark: SparkSession, path: str, schema: str = "map<string, struct<fecha: string, titulo: string, municipios: array<string>, sentido: string, provincia: string>>") -> DataFrame:
