@@ -117,8 +117,7 @@ def _writer(folder: str, vocabulary: str, spaced: bool, end_id: int):
                     f.write(data)
                 held, n_held = [], 0
 
-            rows = ((key, text.as_py()) for batch in batches for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
-            for key, ids in tokens.encoded(enc, rows):
+            for key, ids in tokens.encoded(enc, batches):
                 held.append((key, ids + end))
                 n_docs, n_tokens, n_held = n_docs + 1, n_tokens + len(ids) // 4 + 1, n_held + len(ids) // 4 + 1
                 if n_held >= SEGMENT_TOKENS:

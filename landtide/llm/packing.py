@@ -123,8 +123,7 @@ def _packer(path: str, limit: int, end_id: int):
             sequence += len(ends)
 
         keys, parts, held = [], [], 0
-        rows = ((key, text.as_py()) for batch in batches for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
-        for key, ids in tokens.encoded(enc, rows):
+        for key, ids in tokens.encoded(enc, batches):
             parts.append(ids + end_bytes)
             keys.append(key)
             held += len(ids) // 4 + 1

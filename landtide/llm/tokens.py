@@ -1,9 +1,10 @@
 """Exact tokenisation with memoised chunks.
 
-A text is cut at blanks and line breaks, where both vocabularies have a token boundary, and each
-distinct chunk goes through the tokenizers library once per worker; new words of letters go through
-it together, in one string. For the byte-level vocabulary that holds where white space stands alone;
-a text with a run of white space goes through the library whole.
+A text is cut at blanks and line breaks, where both vocabularies have a token boundary. The chunks of
+a slice of texts are made distinct in Arrow; each one not yet known goes through the tokenizers
+library, new words of letters together in one string; ids are then gathered in numpy. For the
+byte-level vocabulary the cuts are exact where white space stands alone; a text with a run of white
+space goes through the library whole.
 """
 
 from __future__ import annotations
@@ -11,15 +12,16 @@ from __future__ import annotations
 import gc
 import os
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Entries that a worker's memo holds before it starts anew, and the
-#: characters of text encoded at a time. They bound memory only.
-MEMO_ENTRIES, SLICE_CHARS = 800_000, 3_000_000
+#: Entries that a worker's memo holds before it starts anew, words joined in one string, and the
+#: bytes of text encoded at a time. They bound memory only.
+MEMO_ENTRIES, JOINED, SLICE_BYTES = 600_000, 1_000, 4_000_000
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -30,116 +32,132 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class _Memo(dict):
-    """Chunk to ids, for chunks that follow ``before`` ("" at the start of a line, or a blank)."""
+class Encoder:
+    """Encodes texts to little-endian unsigned 32-bit ids, as the library itself would.
+
+    spaced: white space belongs to tokens (byte-level vocabularies), and a blank to the token after
+    it; otherwise the vocabulary lowers case and drops white space.
+    """
+
+    def __init__(self, path: str, spaced: bool):
+        from tokenizers import Tokenizer
 
-    def __init__(self, tokenizer, before: str, spaced: bool):
-        super().__init__()
-        self.tokenizer, self.before, self.spaced = tokenizer, before, spaced
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.spaced = spaced
+        self.memo: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
-        ids = tokenizer.get_vocab()
-        # the id that shows where each word of a joined string begins (spaced) or ends
-        self.joint = before if before or not spaced else "\n"
+        # where in the ids of joined words each word begins (after a blank, or a line break) or ends
+        edge = (lambda t: t[:1] in "ĠĊ") if spaced else (lambda t: t.endswith("</w>"))
+        ids = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(ids.values()) + 1, bool)
-        for token, i in ids.items():
-            self.edge[i] = token.startswith("Ġ" if before else "Ċ") if spaced else token.endswith("</w>")
-
-    def _alone(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        joint = self.joint or " "
-        ids = np.array(self.tokenizer.encode_batch_fast([joint + joint.join(words)], add_special_tokens=False)[0].ids, "<u4")
-        edges = np.flatnonzero(self.edge[ids])
-        if len(edges) != len(words):
-            return ((w, self._alone(self.before + w)) for w in words)
-        data = ids.tobytes()
-        if not self.spaced:
-            first, last = [0, *(edges[:-1] + 1).tolist()], (edges + 1).tolist()
-        else:
-            first, last = (edges if self.before else edges + 1).tolist(), [*edges[1:].tolist(), len(ids)]
-        return ((w, data[4 * a : 4 * b]) for w, a, b in zip(words, first, last, strict=True))
-
-    def learn(self, chunks: set[str]) -> set[str]:
-        """Make every one of ``chunks`` known; returns those with white space at an end, which stay unknown if spaced."""
-        if len(self) > MEMO_ENTRIES:
-            self.clear()
-        words, marked, rest, bad = set(), [], [], set()
-        for c in chunks.difference(self):
+        self.edge[[i for t, i in ids.items() if t and edge(t)]] = True
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        return self._alone(chunk if chunk[:1] == "\n" or not self.spaced else f" {chunk}")
+
+    def _words(self, words: list[str], before: str) -> None:
+        """Learn words of letters, which stand after a blank or, with ``before`` empty, begin with a line break of their own."""
+        for lo in range(0, len(words), JOINED):
+            part = words[lo : lo + JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast([before + before.join(part)], add_special_tokens=False)[0].ids, "<u4")
+            edges = np.flatnonzero(self.edge[ids])
+            if len(edges) != len(part):
+                self.memo.update((w, self._chunk(w)) for w in part)
+                continue
+            cuts = [*edges.tolist(), len(ids)] if self.spaced else [0, *(edges + 1).tolist()]
+            data = ids.tobytes()
+            self.memo.update((w, data[4 * a : 4 * b]) for w, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
+
+    def _learn(self, chunks: list[str]) -> set[str]:
+        """Make every chunk known; returns those beside which white space doesn't stand alone, which stay unknown."""
+        memo = self.memo
+        if len(memo) > MEMO_ENTRIES:
+            memo.clear()
+        words: set[str] = set()
+        lines: set[str] = set()
+        marked, rest, lowered, bad = [], [], [], set()
+        for c in chunks:
+            if c in memo:
+                continue
+            if not self.spaced and c.isascii() and (low := c.lower()) != c:
+                lowered.append((c, low))
+                c = low
+                if c in memo:
+                    continue
             if c.isalpha():
                 words.add(c)
                 continue
             base = c.rstrip(_MARKS)
-            if base.isalpha():
-                marked.append((c, base))
-                if base not in self:
-                    words.add(base)
-            elif self.spaced and (c[0].isspace() or c[-1].isspace()):
+            line = self.spaced and base[:1] == "\n"
+            if (base[1:] if line else base).isalpha():
+                if base is not c and len(base) < len(c):
+                    marked.append((c, base))
+                if base not in memo:
+                    (lines if line else words).add(base)
+            elif self.spaced and (c in ("", "\n") or c[c[0] == "\n"].isspace() or c[-1].isspace()):
                 bad.add(c)
             else:
                 rest.append(c)
-        listed = list(words)
-        for i in range(0, len(listed), 1_000):
-            self.update(self._words(listed[i : i + 1_000]))
+        self._words(list(words), " ")
+        self._words(list(lines), "")
         for c, base in marked:
             tail = c[len(base) :]
             if tail not in self.marks:
                 if len(self.marks) > 10_000:
                     self.marks.clear()
                 self.marks[tail] = self._alone(tail)
-            self[c] = self[base] + self.marks[tail]
+            memo[c] = memo[base] + self.marks[tail]
         for c in rest:
-            self[c] = self._alone(self.before + c)
+            memo[c] = self._chunk(c)
+        for c, low in lowered:
+            memo[c] = memo[low]
         return bad
 
-
-class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids, as the library itself would.
-
-    spaced: a blank belongs to the token after it (byte-level vocabularies); otherwise the
-    vocabulary lowers case and drops white space.
-    """
-
-    def __init__(self, path: str, spaced: bool):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.spaced = spaced
-        self.first = _Memo(self.tokenizer, "", spaced)
-        self.later = _Memo(self.tokenizer, " ", spaced) if spaced else self.first
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
+    def encode_many(self, texts: pa.Array | list[str]) -> list[bytes]:
         """The ids of each text."""
-        if not self.spaced:
-            rows = [(t.lower() if t.isascii() else t).replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-            self.first.learn(set().union(*rows))
-            return [b"".join(map(self.first.__getitem__, r)) for r in rows]
-        first, later = self.first, self.later
-        cut: list = [[line.split(" ") for line in t.split("\n")] for t in texts]
-        for i, lines in enumerate(cut):
-            if any("" in r for r in lines):  # two blanks or breaks side by side, or one at an end
-                cut[i] = None
-        rows = [r for lines in cut if lines is not None for r in lines]
-        bad = first.learn({r[0] for r in rows}) | later.learn(set(chain.from_iterable(islice(r, 1, None) for r in rows)))
-        if bad:  # other white space beside a blank or break
-            cut = [None if lines is None or any(not bad.isdisjoint(r) for r in lines) else lines for lines in cut]
-        line_break, whole = first._alone("\n"), first._alone
-        return [whole(t) if lines is None else line_break.join([first[r[0]] + b"".join(map(later.__getitem__, islice(r, 1, None))) for r in lines]) for t, lines in zip(texts, cut, strict=True)]
-
-
-def encoded(encoder: Encoder, rows: Iterable[tuple]) -> Iterator[tuple[object, bytes]]:
-    """(key, ids) of each (key, text), a slice of text at a time."""
-    keys, texts, size = [], [], 0
-    for key, text in rows:
-        keys.append(key)
-        texts.append(text)
-        size += len(text)
-        if size >= SLICE_CHARS:
-            yield from zip(keys, encoder.encode_many(texts), strict=True)
-            keys, texts, size = [], [], 0
-    if keys:
-        yield from zip(keys, encoder.encode_many(texts), strict=True)
+        own = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        if not len(own):
+            return []
+        if self.spaced:
+            # each line begins with its break, the first too: a token that is dropped again below
+            cut = pc.binary_join_element_wise(pa.scalar("\n", pa.large_string()), pc.replace_substring(own, "\n", " \n"), pa.scalar("", pa.large_string()))
+        else:
+            cut = pc.replace_substring(pc.replace_substring(own, "\n", " "), "\t", " ")
+        parts = pc.split_pattern(cut, " ")
+        coded = parts.flatten().dictionary_encode()
+        index, chunks = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))])
+        bad = self._learn(chunks)
+        known = [b"" if c in bad else self.memo[c] for c in chunks] if bad else list(map(self.memo.__getitem__, chunks))
+        lengths = np.fromiter(map(len, known), "i8", len(known)) // 4
+        pool = np.frombuffer(b"".join(known), "<u4")
+        n = lengths[index]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(lengths) - lengths)[index] - (ends - n), n)
+        at += np.arange(len(at))
+        data = pool[at].tobytes()
+        bounds = np.concatenate([[0], ends])[offsets] * 4
+        skip = 4 * self.spaced
+        out = [data[a + skip : b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        if bad:
+            is_bad = np.fromiter((c in bad for c in chunks), bool, len(chunks))
+            hits = np.concatenate([[0], np.cumsum(is_bad[index])])[offsets]
+            for i in np.flatnonzero(np.diff(hits)).tolist():
+                out[i] = self._alone(own[i].as_py())
+        return out
+
+
+def encoded(encoder: Encoder, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[object, bytes]]:
+    """(key, ids) of each row of batches of key and text, a slice of text at a time."""
+    for batch in batches:
+        size = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)) // SLICE_BYTES
+        for lo, hi in zip([0, *(np.flatnonzero(np.diff(size)) + 1).tolist()], [*(np.flatnonzero(np.diff(size)) + 1).tolist(), len(size)], strict=True):
+            if hi > lo:
+                yield from zip(batch.column(0).slice(lo, hi - lo).to_pylist(), encoder.encode_many(batch.column(1).slice(lo, hi - lo)), strict=True)
 
 
 _encoders: dict = {}
@@ -149,6 +167,6 @@ def encoder(path: str, spaced: bool) -> Encoder:
     """One encoder for each vocabulary in a worker process."""
     key = (path, spaced)
     if key not in _encoders:
-        gc.set_threshold(100_000)  # the memo and the lists of chunks hold no cycles
+        gc.set_threshold(100_000)  # the memo holds no cycles
         _encoders[key] = Encoder(path, spaced)
     return _encoders[key]
