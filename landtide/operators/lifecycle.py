@@ -97,3 +97,22 @@ def pending_analysis(alerts: DataFrame, version: int) -> DataFrame:
 def pending_parcels(alerts: DataFrame) -> DataFrame:
     """alerts: id, state, parcel_pixels, pixels. Those whose parcels were read for another size, larger first."""
     return alerts.filter(~F.col("state").isin("descartada", "fusionada") & ~F.col("parcel_pixels").eqNullSafe(F.col("pixels"))).orderBy(F.desc("pixels"), "id")
+
+
+def last_index(pairs: DataFrame, changes: DataFrame) -> DataFrame:
+    """The index that each touched alert ends with: that of its smallest change, the last to be written. changes: change, pixels, ndvi."""
+    return pairs.join(changes, "change").groupBy("alert").agg(F.min_by("ndvi", F.struct("pixels", F.col("change"))).alias("ndvi"))
+
+
+def water_discards(alerts: DataFrame) -> DataFrame:
+    """Active alerts with a class that are the level of a water body. alerts: id, state, clc, class."""
+    from ..functions.spectral import water_level
+
+    return alerts.filter(F.col("state").isin(*ACTIVE) & F.col("class").isNotNull() & water_level(F.col("clc"), F.col("class")))
+
+
+def photo_windows(alerts: DataFrame, version: int) -> DataFrame:
+    """alerts: id, first, last (ym), version. Windows to look for photos in, in order: the first where the version is stale, then the last if it lies within a year."""
+    stale = ~F.col("version").eqNullSafe(F.lit(version))
+    wanted = F.array_distinct(F.filter(F.array(F.when(stale, F.col("first")), F.when(F.col("last") - F.col("first") < 12, F.col("last"))), lambda w: w.isNotNull()))
+    return alerts.select("id", F.posexplode(wanted).alias("k", "window"))

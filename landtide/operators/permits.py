@@ -119,3 +119,28 @@ def declared_use(parts: DataFrame, sizes: DataFrame, p: Params = PARAMS) -> Data
     rows = sizes.join(best, "alert", "left").withColumn("fraction", F.round(F.least(F.coalesce(F.col("total") / F.col("size"), F.lit(0.0)), F.lit(1.0)), 3))
     use = F.when(F.col("best").isNull() | (F.col("fraction") < p.least_declared), "sin_declarar").when(F.col("best.grp").isin(*p.permanent_groups), "pradera_permanente").otherwise("rotacion")
     return rows.select("alert", "fraction", use.alias("use"), F.col("best.code").alias("code"), F.col("best.grp").alias("grp"))
+
+
+def names_to_codes(alerts: DataFrame, table: DataFrame) -> DataFrame:
+    """alerts: alert, names (array); table: name, insee, ine. The codes of names, in order; unknown names are left out, of equal names the last wins."""
+    codes = table.groupBy("name").agg(F.max_by(F.coalesce("insee", "ine"), "n").alias("code"))
+    rows = alerts.select("alert", F.posexplode("names").alias("k", "name")).join(codes, "name").filter(F.col("code").isNotNull())
+    return rows.groupBy("alert").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "code"))), lambda x: x["code"]).alias("codes"))
+
+
+def full_text(notices: DataFrame, dumps: DataFrame, markup: DataFrame) -> DataFrame:
+    """The text of each notice: that of its day's dump, else its markup without tags, else null (asked for again later)."""
+    from ..functions.text import without_markup
+
+    rows = notices.join(dumps.select("day", "notice", F.col("text").alias("dump")), ["day", "notice"], "left").join(markup.select("notice", "xml"), "notice", "left")
+    return rows.select("notice", F.coalesce("dump", without_markup(F.col("xml"))).alias("text"))
+
+
+def with_crops(used: DataFrame, crops: DataFrame) -> DataFrame:
+    """Names of declared crops; an unknown code is its own name. crops: code, label."""
+    return used.join(crops, "code", "left").withColumn("label", F.coalesce("label", "code"))
+
+
+def layer_of(year: Column, latest: Column) -> Column:
+    """Name of the declaration layer of a year: LATEST for the latest and beyond."""
+    return F.when(year >= latest, "LATEST").otherwise(year.cast("string"))

@@ -93,3 +93,15 @@ def listed(alerts: DataFrame, state: str = "activas", status: str | None = None,
 
 def redirects(alerts: DataFrame) -> DataFrame:
     return alerts.filter(F.col("state") == "fusionada").select("id", "merged_into")
+
+
+def features(alerts: DataFrame, properties: list[str], geometry: str) -> DataFrame:
+    """Each visible alert as a GeoJSON feature; properties as they are, but for the geometry. geometry: a column of GeoJSON text."""
+    body = F.to_json(F.struct(*properties))
+    text = F.concat(F.lit('{"type":"Feature","properties":'), body, F.lit(',"geometry":'), F.coalesce(geometry, F.lit("null")), F.lit("}"))
+    return alerts.filter(F.col("state") != "fusionada").select("id", text.alias("feature"))
+
+
+def photo_value(reflectance: Column) -> Column:
+    """The brightness 0..255 of a photo's pixel, by a gamma curve. Fixed values."""
+    return F.floor(F.pow(F.least(F.greatest(reflectance / 0.22, F.lit(0.0)), F.lit(1.0)), F.lit(1 / 1.6)) * 255).cast("int")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import geodesy, locale, months, spectral, text
 from ..operators import components as comps
 from ..operators import composite as cm
-from ..operators import detect, lifecycle, overlay, permits, publish, scenes
+from ..operators import detect, geometry, lifecycle, overlay, permits, publish, scenes
 from .bindings import SQL_COMP, SQL_EVAL, SQL_GRID, SQL_OBS, SQL_WIN, grid, obs, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -726,3 +726,104 @@ def photo_box(spark, d):
     k = F.col("s_suppkey")
     side, y, x = geodesy.snap_box((k * 131).cast("double"), (k * 57).cast("double"), (k * 131 + k % 90).cast("double"), (k * 57 + 44).cast("double"))
     return read(spark, d, "supplier").select("s_suppkey", side.cast("double").alias("side"), y.alias("low_y"), x.alias("low_x"))
+
+
+# the rest of geometry, joins and rules -------------------------------------------------------------
+
+
+@query("grid_bounds", "SELECT x0, y0, x1, y1, ((x1 - x0) / 10)::BIGINT AS width, ((y1 - y0) / 10)::BIGINT AS height FROM (SELECT floor(min(l_extendedprice) / 10) * 10.0::DOUBLE AS x0, floor(min(l_quantity) / 10) * 10.0::DOUBLE AS y0, ceil(max(l_extendedprice) / 10) * 10.0::DOUBLE AS x1, ceil(max(l_quantity) / 10) * 10.0::DOUBLE AS y1 FROM lineitem)")
+def grid_bounds(spark, d):
+    return geometry.grid_bounds(read(spark, d, "lineitem").select(F.col("l_extendedprice").alias("x"), F.col("l_quantity").alias("y")))
+
+
+@query("tiles", f"WITH {SQL_GRID} SELECT DISTINCT cy // 32 AS ty, cx // 32 AS tx FROM cells")
+def tiles(spark, d):
+    return geometry.tiles(grid(spark, d), 32)
+
+
+@query(
+    "representative_point",
+    f"""WITH {SQL_GRID}, a AS (SELECT cy // 10 AS alert, cy, cx FROM cells), m AS (SELECT alert, avg(cy) AS my, avg(cx) AS mx FROM a GROUP BY alert)
+SELECT alert, round(my, 5) AS my, round(mx, 5) AS mx, cy, cx FROM a JOIN m USING (alert) QUALIFY row_number() OVER (PARTITION BY alert ORDER BY round((cy - my) ** 2 + (cx - mx) ** 2, 6), cy, cx) = 1""",
+)
+def representative_point(spark, d):
+    return geometry.representative(alert_cells(spark, d), "alert")
+
+
+@query(
+    "land_cover_at_point",
+    f"""WITH {SQL_ZONES}, pt AS (SELECT c_custkey AS id, (c_custkey * 37 % 520)::DOUBLE + 0.5 AS y, (c_custkey * 11 % 70)::DOUBLE + 0.5 AS x FROM customer), f AS (SELECT id, min('C' || right(zone, 1)) AS code FROM pt JOIN zo ON y > y0 AND y < y1 AND x > x0 AND x < x1 GROUP BY id)
+SELECT id, code, CASE WHEN code IN ('C1', 'C2') THEN 'cover ' || code ELSE code END AS name FROM pt LEFT JOIN f USING (id)""",
+)
+def land_cover_at_point(spark, d):
+    k, zones = F.col("c_custkey"), zone_table(spark, d)
+    corner = lambda y, x: F.struct(F.col(y).alias("y"), F.col(x).alias("x"))
+    rings = zones.select("zone", F.array(corner("y0", "x0"), corner("y0", "x1"), corner("y1", "x1"), corner("y1", "x0")).alias("points"))
+    covers = zones.select("zone", F.concat(F.lit("C"), F.substr(F.col("zone"), F.length("zone"))).alias("code"))
+    points = read(spark, d, "customer").select(k.alias("id"), ((k * 37 % 520).cast("double") + 0.5).alias("y"), ((k * 11 % 70).cast("double") + 0.5).alias("x"))
+    return geometry.land_cover(points, rings, covers, spark.createDataFrame([("C1", "cover C1"), ("C2", "cover C2")], "code string, name string"), 50.0)
+
+
+@query("site_totals", "SELECT count(*) AS n, sum(ha)::DOUBLE AS ha FROM (SELECT s_suppkey % 40 AS code, sum(s_suppkey % 9 * 0.5) AS ha FROM supplier GROUP BY 1) WHERE ha >= 1")
+def site_totals(spark, d):
+    k = F.col("s_suppkey")
+    layer = read(spark, d, "supplier").select((k % 40).alias("code"), F.col("s_name").alias("name"), F.lit("ZEC").alias("kind"), F.array(F.array(F.struct(F.lit(0.0).alias("y"), F.lit(0.0).alias("x")))).alias("rings"), (k % 9 * 0.5).alias("ha"), k)
+    found = geometry.sites([layer.filter("s_suppkey % 2 = 0").drop("s_suppkey"), layer.filter("s_suppkey % 2 = 1").drop("s_suppkey")])
+    return geometry.without_slivers(found).agg(F.count("*").alias("n"), F.sum("ha").alias("ha"))
+
+
+@query("last_index", "WITH t AS (" + ORACLES["touch_join"] + ") SELECT alert, arg_min((change % 13) / 13::DOUBLE, (change % 5, change)) AS ndvi FROM t GROUP BY alert")
+def last_index(spark, d):
+    pairs = touch_join(spark, d)
+    c = F.col("change")
+    return lifecycle.last_index(pairs, pairs.select("change").distinct().select("change", (c % 5).alias("pixels"), (c % 13 / 13).alias("ndvi")))
+
+
+@query("water_level_discards", f"WITH {SQL_REGISTRY} SELECT id FROM reg WHERE state IN ('provisional', 'confirmada') AND (o_orderkey % 3 = 0 OR (class = 'agua' AND o_orderkey % 3 = 1))")
+def water_level_discards(spark, d):
+    k = F.substring_index("id", "-", -1).cast("long")
+    clc = F.when(k % 3 == 0, "512").when(k % 3 == 1, "421").otherwise("311")
+    return lifecycle.water_discards(registry(spark, d).withColumn("clc", clc)).select("id")
+
+
+@query("photo_windows", "SELECT o_orderkey AS id, (row_number() OVER (PARTITION BY o_orderkey ORDER BY k) - 1)::INT AS k, w::INT AS window FROM (SELECT o_orderkey, 0 AS k, 24000 + o_orderkey % 20 AS w FROM orders WHERE o_orderkey % 3 <> 2 UNION ALL SELECT o_orderkey, 1, 24000 + o_orderkey % 31 FROM orders WHERE o_orderkey % 31 - o_orderkey % 20 < 12 AND NOT (o_orderkey % 3 <> 2 AND o_orderkey % 31 = o_orderkey % 20))")
+def photo_windows(spark, d):
+    k = F.col("o_orderkey")
+    rows = read(spark, d, "orders").select(k.alias("id"), (24000 + k % 20).cast("int").alias("first"), (24000 + k % 31).cast("int").alias("last"), (k % 3).alias("version"))
+    return lifecycle.photo_windows(rows, 2)
+
+
+@query("names_to_codes", "SELECT o_orderkey AS alert, array_to_string(list(code ORDER BY k), ',') AS codes FROM (SELECT o_orderkey, 0 AS k, 'C' || o_custkey % 25 AS code FROM orders UNION ALL SELECT o_orderkey, 1, 'C' || o_orderkey % 30 FROM orders WHERE o_orderkey % 30 < 25) GROUP BY 1")
+def names_to_codes(spark, d):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    alerts = read(spark, d, "orders").select(k.alias("alert"), F.array(F.format_string("NATION_%d", c % 25), F.format_string("NATION_%d", k % 30)).alias("names"))
+    n = F.col("n_nationkey")
+    table = read(spark, d, "nation").select(F.col("n_name").alias("name"), F.when(n % 2 == 0, F.format_string("C%d", n)).alias("insee"), F.format_string("C%d", n).alias("ine"), n.alias("n"))
+    return permits.names_to_codes(alerts, table).select("alert", F.array_join("codes", ",").alias("codes"))
+
+
+@query("full_text", "SELECT page_id AS notice, md5(CASE WHEN page_id % 3 = 0 THEN 'dump ' || page_id WHEN page_id % 3 = 1 THEN regexp_replace(html, '<[^>]+>', ' ', 'g') END) AS text_md5 FROM pages")
+def full_text(spark, d):
+    x = read(spark, d, "pages").withColumn("notice", F.col("page_id")).withColumn("day", F.col("page_id") % 5)
+    made = permits.full_text(x.select("notice", "day"), x.filter("page_id % 3 = 0").select("day", "notice", F.format_string("dump %d", "page_id").alias("text")), x.filter("page_id % 3 < 2").select("notice", F.col("html").alias("xml")))
+    return made.select("notice", F.md5("text").alias("text_md5"))
+
+
+@query("crop_dictionary", "WITH u AS (" + ORACLES["declared_use"] + ") SELECT alert, CASE WHEN code = 'PROMO' THEN 'Promoción' ELSE code END AS label FROM u")
+def crop_dictionary(spark, d):
+    return permits.with_crops(declared_use(spark, d), spark.createDataFrame([("PROMO", "Promoción")], "code string, label string")).select("alert", "label")
+
+
+@query("declaration_layer", "SELECT o_orderkey, CASE WHEN year(o_orderdate) >= 1999 THEN 'LATEST' ELSE year(o_orderdate)::VARCHAR END AS layer FROM orders")
+def declaration_layer(spark, d):
+    return read(spark, d, "orders").select("o_orderkey", permits.layer_of(F.year("o_orderdate"), F.lit(1999)).alias("layer"))
+
+
+@query("geojson_features", f"""WITH {SQL_REGISTRY} SELECT id, '{{"type":"Feature","properties":{{"id":"' || id || '","state":"' || state || '","class":"' || class || '"}},"geometry":null}}' AS feature FROM reg WHERE state <> 'fusionada'""")
+def geojson_features(spark, d):
+    return publish.features(registry(spark, d).withColumn("geometry", F.lit(None).cast("string")), ["id", "state", "class"], "geometry")
+
+
+@query("photo_values", "SELECT l_orderkey, l_linenumber, floor(pow(least(greatest((0.02 + l_discount) / 0.22::DOUBLE, 0), 1), 1 / 1.6::DOUBLE) * 255)::INT AS v FROM lineitem")
+def photo_values(spark, d):
+    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", publish.photo_value(0.02 + F.col("l_discount")).alias("v"))

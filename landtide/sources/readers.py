@@ -83,3 +83,73 @@ def write_months(comp: DataFrame, path: str) -> None:
 def read_months(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
     """Composites of a range of months; other partitions aren't listed."""
     return spark.read.parquet(path).filter(F.col("ym").between(first, last))
+
+
+def cadastre_zip(spark: SparkSession, path: str) -> DataFrame:
+    """Parcels from zipped GML files, one file in a worker's memory at a time, read element by element: parcel, area_m2, rings (x, y).
+
+    An entry without a reference or without a ring of four points is left out; rings of fewer points too.
+    """
+    files = spark.read.format("binaryFile").load(path).select("content")
+
+    def run(batches):
+        import io
+        import zipfile
+        from xml.etree.ElementTree import iterparse
+
+        import pandas as pd
+
+        tag = lambda e: e.tag.rsplit("}", 1)[-1]
+        for pdf in batches:
+            for content in pdf["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for name in [n for n in z.namelist() if n.lower().endswith(".gml")]:
+                        rows = []
+                        for _, element in iterparse(z.open(name)):
+                            if tag(element) != "CadastralParcel":
+                                continue
+                            ref, stated, rings = None, None, []
+                            for e in element.iter():
+                                if tag(e) == "nationalCadastralReference":
+                                    ref = (e.text or "").strip()
+                                elif tag(e) == "areaValue" and e.text:
+                                    stated = float(e.text)
+                                elif tag(e) == "posList" and e.text:
+                                    v = list(map(float, e.text.split()))
+                                    if len(v) >= 8:
+                                        rings.append([{"x": a, "y": b} for a, b in zip(v[::2], v[1::2], strict=True)])
+                            if ref and rings:
+                                rows.append((ref, stated, rings))
+                            element.clear()
+                        yield pd.DataFrame(rows, columns=["parcel", "stated", "rings"])
+
+    rows = files.mapInPandas(run, "parcel string, stated double, rings array<array<struct<x: double, y: double>>>")
+    shape = F.aggregate("rings", F.lit(0.0), lambda a, r: a + ring_area(r))
+    return rows.select("parcel", F.coalesce(F.nullif(F.col("stated"), F.lit(0.0)), F.abs(shape)).alias("area_m2"), "rings")
+
+
+def write_snapshot(rows: DataFrame, path: str) -> None:
+    """A registry that is replaced as a whole: written beside the old one, then swapped by two renames."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(f"{path}.new")
+    Path = spark._jvm.org.apache.hadoop.fs.Path  # noqa: N806
+    store = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(Path(path)):
+        store.delete(Path(f"{path}.old"), True)
+        store.rename(Path(path), Path(f"{path}.old"))
+    store.rename(Path(f"{path}.new"), Path(path))
+
+
+def append_missing(rows: DataFrame, known: DataFrame, keys: list[str], path: str) -> int:
+    """Append the rows whose keys aren't known; returns how many."""
+    fresh = rows.join(known, keys, "left_anti").persist()
+    n = fresh.count()
+    if n:
+        fresh.write.mode("append").parquet(path)
+    fresh.unpersist()
+    return n
+
+
+def within_box(rows: DataFrame, y0: float, x0: float, y1: float, x1: float) -> DataFrame:
+    """Rows whose box (y0, x0, y1, x1) meets another; the comparisons reach a Parquet scan."""
+    return rows.filter((F.col("y0") <= y1) & (F.col("y1") >= y0) & (F.col("x0") <= x1) & (F.col("x1") >= x0))
