@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .shared import stash, table
 
-ATOMS, CELL_ROWS = 65_536, 250_000
+ATOMS, CELL_ROWS = 65_536, 1_000
 
 
 def greedy_cuts(prefix: np.ndarray, capacity: int, shards: int) -> list[int] | None:
@@ -96,11 +96,12 @@ def shard(rows: DataFrame, shards: int, group, size, key: str = "doc_id") -> Dat
 
     group: a column; rows with equal values stay together, nulls being one group. size: a long
     column of bytes. ``key`` orders the slots of a cell. Any other columns are kept; __atom and
-    __bytes must not be among them. An empty input gives an empty result; repeated rows each
+    __bytes must not be among them, and columns
+    named shard or slot are replaced. An empty input gives an empty result; repeated rows each
     take a slot of their own.
     """
     spark = rows.sparkSession
-    keyed = stash(rows.withColumn("__atom", F.pmod(F.xxhash64(group), F.lit(ATOMS)).cast("int")).withColumn("__bytes", size), "sharding")
+    keyed = stash(rows.drop("shard", "slot").withColumn("__atom", F.pmod(F.xxhash64(group), F.lit(ATOMS)).cast("int")).withColumn("__bytes", size), "sharding")
     atoms = keyed.groupBy("__atom").agg(F.sum("__bytes").alias("b"), F.count("*").alias("n")).toPandas().sort_values("__atom")
     atom, counts = atoms["__atom"].to_numpy("i8"), atoms["n"].to_numpy("i8")
     shard_of = assign(atoms["b"].to_numpy("i8"), shards)

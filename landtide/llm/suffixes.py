@@ -287,6 +287,7 @@ class Family:
         repeated = told.filter("not __in").drop("__in").unionByName(told.filter("__in").drop("__in").join(single, ["m", "c"], "left_anti"))
         found = repeated.select("doc_id", "h", F.col("a").alias("s"), (F.col("a") + F.col("n") + LENGTH - 1).alias("e"))
         mixed_ = runs_.groupBy("m").agg(F.count("*").alias("k"), F.min("k").alias("least")).filter("k > 1 and least = 1").select("m")
+        mixed_ = stash(mixed_, "mixed-anchors")
         found = found.unionAll(self._window_by_window(runs_, mixed_))
         found = stash(found, "covered")
         self.covered = found if self.covered is None else self.covered.unionAll(found)

@@ -21,7 +21,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Entries that a worker's memo holds before it starts anew, words joined in one string, and the
 #: bytes of text encoded at a time. They bound memory only.
-MEMO_ENTRIES, JOINED, SLICE_BYTES = 600_000, 1_000, 4_000_000
+MEMO_ENTRIES, JOINED, SLICE_BYTES = 1_000_000, 1_000, 6_000_000
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -80,9 +80,7 @@ class Encoder:
         words: set[str] = set()
         lines: set[str] = set()
         marked, rest, lowered, bad = [], [], [], set()
-        for c in chunks:
-            if c in memo:
-                continue
+        for c in [c for c in chunks if c not in memo]:
             if not self.spaced and c.isascii() and (low := c.lower()) != c:
                 lowered.append((c, low))
                 c = low

@@ -46,9 +46,9 @@ def test_shards(documents):
 
 
 def test_odd_rows_are_sharded(odd):
-    got = sharding.shard(odd.drop("shard", "slot"), 3, F.coalesce("text", F.lit("")), F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + 16)
+    got = sharding.shard(odd, 3, F.coalesce("text", F.lit("")), F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + 16)
     assert got.count() == 10
-    assert sharding.shard(odd.drop("shard", "slot").limit(0), 3, F.col("text"), F.lit(1).cast("long")).count() == 0
+    assert sharding.shard(odd.limit(0), 3, F.col("text"), F.lit(1).cast("long")).count() == 0
 
 
 WEIRD = ["", " ", "  ", "a  b", "a   b", " a", "a ", "\n\na \n b\n", "x\ty  z", "don't can't'll 's", "É é İSTANBUL ΣΑΣ", "<|endoftext|> x", "foo.\nBar baz.\n\nQux", "a b   c", "\x1c\x1d a\x1fb", "123 4.5e6 a1b2 \U0001f600", "\r\n x\r\ny", "日本語 テキスト。", "!!!\nabc", "abc\n", "a\n\t\tb", "a \nb c", "x" * 5000]
