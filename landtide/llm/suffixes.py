@@ -191,6 +191,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out(1, part, row, z1.view("i8"), z2.view("i8"), s, s + LENGTH)
 
     def resolve(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Whole groups, some 1,000 rows of them at a time."""
+        m, lo = rows.column("m").to_numpy(), 0
+        for hi in [*(np.flatnonzero(m[1:] != m[:-1]) + 1).tolist(), len(m)]:
+            if hi - lo >= 1_000 or hi == len(m):
+                yield from groups(rows.slice(lo, hi - lo))
+                lo = hi
+
+    def groups(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         z1, z2, row, s = windows(rows)
         order = np.lexsort((z2, z1))
         same = (z1[order][1:] == z1[order][:-1]) & (z2[order][1:] == z2[order][:-1])
@@ -324,7 +332,7 @@ class Family:
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, len(whole), 500)):
         kept_all, removed, spans = [], [], []
         for b, covered in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
             stretches = sorted((c["s"], c["e"]) for c in covered.as_py() or [])
