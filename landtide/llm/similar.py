@@ -1,0 +1,229 @@
+r"""Near copies by the Jaccard similarity of their word shingles: every pair, without exception.
+
+A text is the set of XXH64 hashes of its shingles. In any one order of all shingles, two sets that are
+alike in SIMILARITY share an element among the first n - ceil(SIMILARITY n) + 1 of each, so such texts
+meet in the bucket of a shingle of their prefixes (the prefix filter of set-similarity joins). The order
+only has to be the same for all: shingles found common in a sample come last, so buckets stay small,
+and which ones the sample holds changes no result.
+
+Equal sets are one node. Buckets are streamed in sorted order, twice. The first time each row is paired
+with a head of its bucket only, so a family of varied copies costs no square of its size. The second
+time rows are paired across the components that these left. Sizes and places in the prefixes rule out
+most pairs; what is left is compared in whole sets.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .components import components
+from .shared import discard, stash
+
+SHINGLE, SIMILARITY = 5, (4, 5)
+#: Of the sample that common shingles are learnt from: texts, least count, most shingles.
+SAMPLE_TEXTS, COMMON_LEAST, COMMON_MOST = 20_000, 8, 100_000
+SLICE = 200_000
+
+
+def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes; a text of fewer words is one shingle, one without words has none."""
+    import xxhash
+
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, "u8")
+    digest = xxhash.xxh64_intdigest
+    if len(words) < size:
+        return np.array([digest(b" ".join(words), 42)], "u8")
+    return np.unique(np.array([digest(x, 42) for x in map(b" ".join, zip(*(words[k:] for k in range(size)), strict=False))], "u8"))
+
+
+def _alike(shared: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Do sets of n and m elements with so many shared ones reach SIMILARITY? In whole numbers."""
+    num, den = SIMILARITY
+    return shared * (num + den) >= num * (n + m)
+
+
+def _texts(batch: pa.RecordBatch, i: int) -> Iterator[bytes]:
+    column = batch.column(i).cast(pa.binary())
+    return (x.as_py() for x in column)
+
+
+def common(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The most common shingles of a sample of texts, sorted, and their counts. Their number doesn't grow with the input."""
+    share = max(1, docs.count() // SAMPLE_TEXTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in _texts(batch, 0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(t).view("i8"))], ["h"])
+
+    some = docs.filter(F.pmod(F.xxhash64(text, F.lit(17)), F.lit(share)) == 0).select(F.coalesce(F.col(text), F.lit("")).alias("t"))
+    counted = some.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_LEAST)
+    rows = counted.orderBy(F.desc("n"), "h").limit(COMMON_MOST).toPandas()
+    h, n = rows["h"].to_numpy("i8").view("u8"), rows["n"].to_numpy("i8")
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def prefix(held: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first elements of a set in the order of all shingles: by count in the sample, then by hash."""
+    num, den = SIMILARITY
+    size = len(held) + num * len(held) // -den + 1 if len(held) else 0
+    if not len(known):
+        return held[:size]
+    at = np.minimum(np.searchsorted(known, held), len(known) - 1)
+    count = np.where(known[at] == held, counts[at], 0)
+    return held[np.argsort(count, kind="stable")[:size]]
+
+
+def sets(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, th (hash of the text), t, sid (hash of the set), n and prefix of each row; a null text counts as empty."""
+    known, counts = common(docs, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            sid, n, first = [], [], []
+            for t in _texts(batch, 2):
+                held = shingles(t)
+                sid.append(xxhash.xxh64_intdigest(held.tobytes(), 7))
+                n.append(len(held))
+                first.append(prefix(held, known, counts).view("i8"))
+            ends = np.cumsum([0, *map(len, first)]).astype("i4")
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first) if first else np.zeros(0, "i8")))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(np.array(sid, "u8").view("i8")), pa.array(n, pa.int32()), lists], ["doc_id", "th", "t", "sid", "n", "prefix"])
+
+    src = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    return src.mapInArrow(run, "doc_id long, th long, t string, sid long, n int, prefix array<long>")
+
+
+def _pairs(rounds: int):
+    """Streams (h, sid, root, n, at) rows sorted by h; yields pairs of a bucket that may be alike: with heads (0) or across roots (1)."""
+    num, den = SIMILARITY
+
+    def possible(n: np.ndarray, at: np.ndarray, i, j) -> np.ndarray:
+        shared = np.minimum(at[i], at[j]) + 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1
+        return _alike(shared, n[i], n[j])
+
+    def bucket(sid: np.ndarray, root: np.ndarray, n: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        order = np.argsort(n, kind="stable")
+        sid, root, n, at = sid[order], root[order], n[order], at[order]
+        ends = np.searchsorted(n * num, n * den, side="right")
+        i = 0
+        while i < len(n) - 1:
+            j = np.arange(i + 1, ends[i])
+            fits = possible(n, at, i, j) & (root[i] != root[j])
+            yield np.full(int(fits.sum()), sid[i]), sid[j[fits]]
+            i = i + 1 if rounds else max(int(ends[i]), i + 1)
+
+    def batch_of(found: list) -> pa.RecordBatch:
+        a, b = (np.concatenate([p[k] for p in found]) if found else np.zeros(0, "i8") for k in (0, 1))
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        one = np.unique(np.stack([low, high]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(one[0]), pa.array(one[1])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, "i8") for _ in range(5)]
+        waiting: list[list[np.ndarray]] = []
+
+        def ready(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            h, sid, root, n, at = cols
+            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            sizes = np.diff(np.append(starts, len(h)))
+            i = starts[sizes == 2]
+            j = i + 1
+            fits = possible(n, at, i, j) & (root[i] != root[j])
+            found, rows = [(sid[i[fits]], sid[j[fits]])], int(fits.sum())
+            for s, m in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+                if rounds and (root[s : s + m] == root[s]).all():
+                    continue
+                for p in bucket(sid[s : s + m], root[s : s + m], n[s : s + m], at[s : s + m]):
+                    found.append(p)
+                    rows += len(p[0])
+                    if rows >= SLICE:
+                        yield batch_of(found)
+                        found, rows = [], 0
+            yield batch_of(found)
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            cols = [batch.column(k).to_numpy(zero_copy_only=False).astype("i8") for k in range(5)]
+            last = cols[0][-1]
+            if waiting and waiting[0][0][0] == last and cols[0][0] == last:
+                waiting.append(cols)  # a bucket over whole batches is put together once
+                continue
+            held = [np.concatenate(x) for x in zip(*waiting, cols, strict=True)]
+            cut = int(np.argmax(held[0] == last)) if held[0][0] == last else len(held[0]) - int(np.argmax((held[0] != last)[::-1]))
+            if cut:
+                yield from ready([x[:cut] for x in held])
+            waiting = [[x[cut:] for x in held]]
+        if waiting:
+            yield from ready([np.concatenate(x) for x in zip(*waiting, strict=True)])
+
+    return run
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, x, y), x and y being whole sets: those that are alike."""
+    for batch in batches:
+        keep = []
+        for i in range(len(batch)):
+            x, y = (np.frombuffer(batch.column(k)[i].as_buffer(), "u8") for k in (2, 3))
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(bool(_alike(shared, len(x), len(y))))
+        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t).tobytes() for t in _texts(batch, 1)], pa.binary())], ["sid", "x"])
+
+
+def alike(made: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of ``pairs`` a, b whose sets reach SIMILARITY. Sets are made again for the texts that are in a pair."""
+    involved = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    texts = made.join(involved, "sid", "left_semi").groupBy("sid").agg(F.min("t").alias("t"))
+    whole = stash(texts.mapInArrow(_whole, "sid long, x binary"), "whole-sets")
+    both = pairs.join(whole.select(F.col("sid").alias("a"), "x"), "a").join(whole.select(F.col("sid").alias("b"), F.col("x").alias("y")), "b").select("a", "b", "x", "y")
+    out = stash(both.mapInArrow(_verify, "a long, b long"), "alike")
+    discard(whole)
+    return out
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, th, sid and root of each row: one root for what pairs of SIMILARITY connect. Rows without words are alike."""
+    made = stash(sets(docs, key, text), "sets")
+    nodes = stash(made.groupBy("sid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "nodes")
+
+    def candidates(rooted: DataFrame, rounds: int) -> DataFrame:
+        rows = rooted.select(F.posexplode("prefix").alias("at", "h"), "sid", "root", "n").select("h", "sid", "root", "n", "at")
+        return rows.repartition("h").sortWithinPartitions("h").mapInArrow(_pairs(rounds), "a long, b long").distinct()
+
+    stars = stash(candidates(nodes.withColumn("root", F.col("sid")), 0), "stars")
+    links = alike(made, stars)
+    roots = components(links)
+    rooted = nodes.join(roots, nodes["sid"] == roots["u"], "left").select("sid", "n", "prefix", F.coalesce("v", "sid").alias("root"))
+    crossing = stash(candidates(rooted, 1).join(stars, ["a", "b"], "left_anti"), "crossing")
+    if not crossing.isEmpty():
+        roots = components(links.unionAll(alike(made, crossing)))
+    return made.select("doc_id", "th", "sid").join(roots, F.col("sid") == F.col("u"), "left").select("doc_id", "th", "sid", F.coalesce("v", "sid").alias("root"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of its smallest key (of equal keys, of the least text hash).
+
+    Rows with a null key can't be told apart and all stay. Columns are as given.
+    """
+    found = near_duplicates(docs, key, text).filter("doc_id is not null")
+    first = found.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("s")).select(F.col("s.doc_id").alias("__first"), F.col("s.th").alias("__hash"))
+    own = docs.withColumn("__th", F.xxhash64(text)).join(first, (F.col(key) == F.col("__first")) & (F.col("__th") == F.col("__hash")), "left_semi")
+    one = own.withColumn("__nth", F.row_number().over(Window.partitionBy(key, "__th").orderBy(F.lit(1)))).filter("__nth = 1").drop("__nth", "__th")
+    return one.unionByName(docs.filter(F.col(key).isNull()))

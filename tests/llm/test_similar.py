@@ -1,0 +1,73 @@
+import random
+
+import pytest
+
+from landtide.llm import similar
+
+
+def varied(seed, n=120):
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefghij") + str(rng.randint(0, 60))
+    line = " ".join(word() for _ in range(12))
+    out = ["", "  ", None, "one two", "One  two"]
+    while len(out) < n:
+        base = [word() for _ in range(rng.randint(6, 90))]
+        for _ in range(rng.randint(1, 7)):
+            copy = list(base)
+            for _ in range(rng.randint(0, 4)):
+                copy[rng.randrange(len(copy))] = word()
+            out.append(" ".join(copy) + (" " + line if rng.random() < 0.6 else ""))
+            if rng.random() < 0.3:
+                base = copy
+    return out
+
+
+def groups(texts):
+    held = [set(similar.shingles((t or "").encode()).tolist()) for t in texts]
+    label = list(range(len(texts)))
+    for i, x in enumerate(held):
+        for j in range(i):
+            y = held[j]
+            if 5 * len(x & y) >= 4 * len(x | y) and label[i] != label[j]:
+                a, b = max(label[i], label[j]), min(label[i], label[j])
+                label = [b if k == a else k for k in label]
+    return label
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_every_pair_of_the_similarity_is_linked(documents, monkeypatch, seed):
+    texts = varied(seed)
+    monkeypatch.setattr(similar, "COMMON_LEAST", 3 if seed == 1 else 10**9)
+    wanted = groups(texts)
+    got = {r["doc_id"]: r["root"] for r in similar.near_duplicates(documents(texts)).collect()}
+    assert len(set(wanted)) == len(set(got.values())) == len({(w, got[i]) for i, w in enumerate(wanted)})
+    assert 10 < len(set(wanted)) < len(texts) - 10
+    assert sorted(r["doc_id"] for r in similar.keep_one(documents(texts)).collect()) == sorted(set(wanted))
+
+
+def test_the_stage_drops_near_copies_beyond_four_bits(spark, documents):
+    import corpus_pipeline
+    from landtide.llm import simhash
+
+    rng = random.Random(5)
+    words = [f"w{rng.randint(0, 9999)}" for _ in range(120)]
+    for at in range(120):
+        pair = [" ".join(words), " ".join([*words[:at], "other", *words[at + 1 :]])]
+        x, y = (simhash.fingerprint(t.encode(), 4) for t in pair)
+        if ((x ^ y) & (2**64 - 1)).bit_count() > 4:
+            break
+    docs = documents([*pair, "something else entirely"])
+    assert ((x ^ y) & (2**64 - 1)).bit_count() > 4 and simhash.keep_one(docs).count() == 3
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 2]
+
+
+def test_repeated_keys_keep_a_row_of_each_component(documents):
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "ab"]
+    kept = similar.keep_one(documents([(1, texts[0]), (1, texts[1]), (2, texts[1]), (0, texts[0])])).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(0, texts[0]), (1, texts[1])]
+
+
+def test_odd_rows(odd):
+    kept = similar.keep_one(odd)
+    assert kept.columns == odd.columns and sorted(map(str, (r["doc_id"] for r in kept.collect()))) == ["0", "4", "7", "8", "9", "None"]
+    assert similar.keep_one(odd.limit(0)).count() == 0
