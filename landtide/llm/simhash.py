@@ -94,10 +94,17 @@ def spanning(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return out
 
 
+def dealt(radius: int, depth: int) -> list[int]:
+    """Masks of radius + 1 disjoint blocks of all bits, others at each depth: an odd stride meets every bit once."""
+    stride = depth * 6 + 1
+    out = [sum(1 << (i * stride) % BITS for i in range(k, BITS, radius + 1)) for k in range(radius + 1)]
+    assert sum(out) == (1 << BITS) - 1 and sum(m.bit_count() for m in out) == BITS
+    return out
+
+
 def _linker(radius: int, last: bool, depth: int):
     """Streams (bucket, fp) rows sorted by bucket; yields links (kind 0) and rows for another round (kind 1)."""
-    shift = depth * 7 + 1
-    blocks = [sum(1 << (i * shift) % BITS for i in range(k, BITS, radius + 1)) for k in range(radius + 1)]
+    blocks = dealt(radius, depth)
 
     def batch_of(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, "i1")), pa.array(a.astype("u8").view("i8")), pa.array(b.astype("u8").view("i8"))], ["kind", "a", "b"])

@@ -92,6 +92,31 @@ def test_large_buckets_go_to_another_round(monkeypatch):
     assert len(set(label)) == len(set(wanted)) == len(set(zip(label, wanted, strict=True)))
 
 
+def test_three_rounds_lose_no_pair(monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", 20)
+    for depth in range(simhash.ROUNDS):
+        parts = simhash.dealt(4, depth)
+        assert sum(m.bit_count() for m in parts) == 64 and sum(parts) == 2**64 - 1
+    # in each block of the first round 27 words have one of three values, so all go on; words are 12 bits apart or more
+    values = [[0, sum(1 << i for i in range(k, 64, 5)[:6]), sum(1 << i for i in range(k, 64, 5)[6:])] for k in range(5)]
+    words = [sum(values[k][c] for k, c in enumerate((*w, sum(w) % 3))) for w in np.ndindex(3, 3, 3, 3)]
+    pairs = [(w, w ^ (3 << 8 * (j % 8))) for j, w in enumerate(words)]
+    rows = sorted((5, f) for p in pairs for f in p)
+    links = set()
+    for depth in range(3):
+        b, f = (np.array(x, "u8").view("i8") for x in zip(*sorted(rows), strict=True))
+        rows = []
+        whole = pa.RecordBatch.from_arrays([pa.array(b), pa.array(f)], ["bucket", "fp"])
+        for out in simhash._linker(4, depth == 2, depth)(whole.slice(i, 10) for i in range(0, len(b), 10)):
+            for kind, x, y in zip(*(out.column(i).to_pylist() for i in range(3)), strict=True):
+                if kind:
+                    rows.append((x & (2**64 - 1), y & (2**64 - 1)))
+                else:
+                    links.add(frozenset((x & (2**64 - 1), y & (2**64 - 1))))
+        assert rows or depth == 2
+    assert links == {frozenset(p) for p in pairs}
+
+
 def test_spanning_by_blocks_equals_direct(monkeypatch):
     rng = random.Random(11)
     fps = np.array(sorted(set(near(rng, 600, 12))), "u8")
