@@ -1,25 +1,26 @@
 r"""Personal data: patterns, and information-theoretic sanitisation of the terms beside them.
 
 Base spans are matches of fixed patterns for emails, IP addresses, card and phone numbers. Each
-distinct value found is a protected entity. A term that occurs within WINDOW characters of an entity
-discloses it by its pointwise mutual information with it, over the corpus: PMI = log(n_te N / (n_t n_e)),
-where n_t counts the documents with the term, n_e those with the entity and n_te those where the term
-stands beside it. A term whose PMI is at least THRESHOLD of the entity's own information log(N / n_e),
-and that stands beside it in two different texts or more, is a span of kind "term" there. Sanitising
-puts a general word in the place of every span.
+distinct value found is a protected entity. A term that occurs in a document with an entity discloses
+it by its pointwise mutual information with it, over the corpus: PMI = log(n_te N / (n_t n_e)), where
+n_t counts the documents with the term, n_e those with the entity and n_te those with both. A term whose
+PMI is at least THRESHOLD of the entity's own information log(N / n_e), and that occurs with it in two
+different texts or more, is a span of kind "term" at each of its places in the documents that hold the
+entity. Sanitising puts a general word in the place of every span.
 
 All of it is DataFrame expressions. Document frequencies are taken over every word of every document
-as 64-bit hashes, with partial aggregation; only texts that hold an entity are kept for the rest.
+as 64-bit hashes, with partial aggregation; pairs are counted over distinct texts that hold an entity of
+more texts than one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import computed_once, stash, table
 
-WINDOW, THRESHOLD = 64, 0.75
+THRESHOLD = 0.75
 #: The base patterns. Possessive repeats and the look-behinds change no match, they only keep long runs linear.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -80,50 +81,66 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[F.when(holds[k], F.filter(matches(text, p, i), passes(k))).otherwise(none) for i, (k, p) in enumerate(PATTERNS.items())])
 
 
-def _window_terms(text: Column, span: Column) -> Column:
-    """(hash, start, end) of the whole words within WINDOW characters of a span, in lower case."""
-    low = F.greatest(span["start"] - WINDOW, F.lit(0))
-    left, right = F.substr(text, low + 1, span["start"] - low), F.substr(text, span["end"] + 1, F.lit(WINDOW))
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in the place of ``spans``, which are in order of start; all other places stay."""
 
-    def terms(part: Column, offset: Column, whole) -> Column:
-        kept = F.filter(matches(part, WORD, len(PATTERNS)), whole)
-        return F.transform(kept, lambda w: F.struct(F.xxhash64(F.lower(w["value"])).alias("h"), (w["start"] + offset).alias("start"), (w["end"] + offset).alias("end")))
+    def step(a: Column, s: Column) -> Column:
+        begin, end = F.greatest(a["at"], s["start"]), F.greatest(a["at"], s["end"])
+        return F.struct(end.alias("at"), F.concat(a["done"], F.substr(text, a["at"] + 1, begin - a["at"]), F.repeat(F.lit(" "), end - begin)).alias("done"))
 
-    first = terms(left, low, lambda w: (w["start"] > 0) | (low == 0))
-    last = terms(right, span["end"], lambda w: (w["end"] < WINDOW))
-    return F.concat(first, last)
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
+    return F.aggregate(spans, start, step, lambda a: F.concat(a["done"], F.substr(text, a["at"] + 1)))
+
+
+def words(text: Column) -> Column:
+    """Hashes of the distinct words, in lower case."""
+    return F.transform(F.array_distinct(F.split(F.lower(text), r"[\s\p{Punct}]+")), lambda w: F.xxhash64(w))
+
+
+def _occurrences(texts: DataFrame) -> DataFrame:
+    """t, h, start, end of each word of ``texts`` (t, text), by running lengths."""
+    parts = F.arrays_zip(F.split("text", WORD, -1).alias("gap"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("word"))
+    rows = texts.select("t", F.posexplode(parts).alias("i", "p")).filter(F.col("p.word").isNotNull())
+    end = F.sum(F.length("p.gap") + F.length("p.word")).over(Window.partitionBy("t").orderBy("i")).cast("int")
+    placed = rows.select("t", F.xxhash64(F.lower("p.word")).alias("h"), end.alias("end"), F.length("p.word").alias("n"))
+    return placed.select("t", "h", (F.col("end") - F.col("n")).alias("start"), "end")
 
 
 def find(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
     """``docs`` with __base and __spans (all spans: arrays of kind, start, end, value) of each row.
 
     A null text counts as empty and has no spans. Repeated rows are documents of their own. Unless
-    keep_text, ``text`` is null where a row has no base span. Columns named __rid, __base or
-    __spans are replaced.
+    keep_text, ``text`` is null where a row has no base span. Columns named __rid, __base,
+    __spans, __t or __terms are replaced.
     """
-    own = docs.drop("__rid", "__base", "__spans")
+    own = docs.drop("__rid", "__base", "__spans", "__t", "__terms")
     t = F.coalesce(F.col(text), F.lit(""))
     found = computed_once(own, __base=base_spans(t)).withColumn("__rid", F.monotonically_increasing_id())
     if not keep_text:
         found = found.withColumn(text, F.when(F.size("__base") > 0, F.col(text)))
     found = stash(found, "pii")
     held = found.filter(F.size("__base") > 0)
-    spans = held.select("__rid", F.xxhash64(text).alias("t"), F.col(text).alias("text"), F.explode("__base").alias("s")).withColumn("e", F.xxhash64(F.lower("s.value"), "s.kind"))
-    near = spans.select("__rid", "t", "e", F.inline(_window_terms(F.col("text"), F.col("s"))))
-    beside = stash(near.select("__rid", "t", "e", "h", "start", "end"), "pii-terms")
-    pairs = beside.select("__rid", "t", "e", "h").distinct().groupBy("e", "h").agg(F.count("*").alias("n_te"), (F.min("t") != F.max("t")).alias("twice")).filter("twice")
-    entities = spans.select("__rid", "e").distinct().groupBy("e").agg(F.count("*").alias("n_e"))
-    words = F.array_distinct(F.split(F.lower(t), r"[\s\p{Punct}]+"))
-    documents = docs.select(F.explode(F.transform(words, lambda w: F.xxhash64(w))).alias("h")).groupBy("h").agg(F.count("*").alias("n_t"))
+    spans = held.select("__rid", F.xxhash64(text).alias("t"), F.explode("__base").alias("s")).withColumn("e", F.xxhash64(F.lower("s.value"), "s.kind"))
+    # one row for each entity of each distinct text, with the number of documents of that text
+    once = stash(spans.groupBy("t", "e").agg(F.count_distinct("__rid").alias("copies"), F.sort_array(F.collect_set(F.struct("s.start", "s.end"))).alias("own")), "pii-entities")
+    entities = once.groupBy("e").agg(F.sum("copies").alias("n_e"), F.count("*").alias("n_texts")).filter("n_texts > 1").drop("n_texts")
+    recurring = once.join(entities.select("e"), "e", "left_semi")
+    texts = held.select(F.xxhash64(text).alias("t"), F.col(text).alias("text"), "__base").join(recurring.select("t").distinct(), "t", "left_semi")
+    texts = stash(texts.groupBy("t").agg(F.min("text").alias("text"), F.min("__base").alias("__base")), "pii-texts")
+    beside = recurring.join(texts, "t").select("e", "copies", F.explode(words(masked(F.col("text"), F.col("own")))).alias("h"))
+    pairs = beside.groupBy("e", "h").agg(F.sum("copies").alias("n_te"), F.count("*").alias("n_texts")).filter("n_texts > 1")
+    documents = docs.select(F.explode(words(t)).alias("h")).groupBy("h").agg(F.count("*").alias("n_t"))
     n = F.log(F.lit(float(max(1, found.count()))))
     measured = pairs.join(entities, "e").join(documents, "h")
     own_information = n - F.log("n_e")
     disclosed = F.log("n_te") + n - F.log("n_t") - F.log("n_e")
-    revealing = measured.filter((own_information > 0) & (disclosed >= THRESHOLD * own_information)).select("e", "h")
+    revealing = measured.filter((F.col("h") != F.xxhash64(F.lit(""))) & (own_information > 0) & (disclosed >= THRESHOLD * own_information)).select("e", "h")
+    told = stash(recurring.join(revealing, "e").select("t", "h").distinct(), "pii-terms")
+    ordered = F.sort_array(F.transform("__base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    places = _occurrences(texts.join(told.select("t").distinct(), "t", "left_semi").select("t", masked(F.col("text"), ordered).alias("text"))).join(told, ["t", "h"])
     term = F.struct(F.lit(len(PATTERNS)).alias("kind"), F.col("start"), F.col("end"), F.lit(None).cast("string").alias("value"))
-    terms = beside.join(revealing, ["e", "h"]).select("__rid", term.alias("s")).distinct().groupBy("__rid").agg(F.sort_array(F.collect_list("s")).alias("__terms"))
-    outside = F.filter("__terms", lambda w: ~F.exists("__base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-    joined = held.join(terms, "__rid", "left").withColumn("__spans", F.when(F.col("__terms").isNull(), F.col("__base")).otherwise(F.concat("__base", outside))).drop("__terms")
+    terms = places.groupBy("t").agg(F.sort_array(F.collect_list(term)).alias("__terms")).withColumnRenamed("t", "__t")
+    joined = held.withColumn("__t", F.xxhash64(text)).join(terms, "__t", "left").withColumn("__spans", F.when(F.col("__terms").isNull(), F.col("__base")).otherwise(F.concat("__base", "__terms"))).drop("__terms", "__t")
     rest = found.filter(F.size("__base") == 0).withColumn("__spans", F.col("__base"))
     return joined.unionByName(rest).drop("__rid")
 

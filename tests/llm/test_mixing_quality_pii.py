@@ -114,6 +114,18 @@ def test_terms_that_reveal_an_entity_are_found_and_replaced(documents):
     assert "[TERM]" in clean[1] and "Zorblax" not in clean[1] and "[EMAIL]" in clean[1] and clean[100] == filler[0][1]
 
 
+def test_terms_far_from_their_entity_are_found_everywhere(documents):
+    filler = [(100 + i, f"common words here and there number{i} follow the rest of the text") for i in range(300)]
+    far = " ".join("common words here and there follow the rest of the text".split() * 8)
+    rows = [(1, f"Dear Zorblax, {far} call +1 (487) 555-7209. éZ ZORBLAX"), (2, f"+1 (487) 555-7209 {far} of zorblax"), (3, f"+1 (487) 555-7209 {far} of zorblax"), (4, "Zorblax alone")]
+    got = {r["doc_id"]: r["s"].split(",") for r in pii.find(documents(rows + filler)).select("doc_id", pii.joined(F.col("__spans")).alias("s")).collect()}
+    assert got[4] == [""] and len(got) == 304
+    for i, t in rows[:3]:
+        assert [x for x in got[i] if x.startswith("term")] == [f"term:{m.start()}:{m.end()}" for m in re.finditer("zorblax", t.lower())]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(documents(rows + filler)).collect()}
+    assert all("zorblax" not in clean[i].lower() and "[PHONE]" in clean[i] for i in (1, 2, 3)) and clean[1].startswith("Dear [TERM], common")
+
+
 def test_odd_rows_are_sanitised(odd):
     got = pii.sanitise(odd)
     assert got.columns == odd.columns and sorted(map(str, got.select("doc_id", "text").collect())) == sorted(map(str, odd.select("doc_id", "text").collect()))
