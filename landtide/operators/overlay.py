@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..params import PARAMS, Params
 
 BLOCK = 16
+#: Sizes of grid cells for the nearest zone, the largest four times the layer's extent.
+LEVELS = 16
 
 
 def blocks(low: Column, high: Column, size: int = BLOCK) -> Column:
@@ -58,16 +60,43 @@ def ranked_zones(parts: DataFrame) -> DataFrame:
 
 
 def nearest(points: DataFrame, zones: DataFrame) -> DataFrame:
-    """The zone nearest to each point, least name on ties. zones: zone, y0, x0, y1, x1: a fixed layer of places, broadcast if it is under 10,000 rows."""
-    small = zones.count() <= 10_000
-    dy = F.greatest(F.col("y0") - F.col("y"), F.lit(0.0), F.col("y") - F.col("y1"))
-    dx = F.greatest(F.col("x0") - F.col("x"), F.lit(0.0), F.col("x") - F.col("x1"))
-    if small:
-        pairs = points.crossJoin(F.broadcast(zones))
-    else:
-        span = zones.agg(F.min("y0").alias("ya"), F.max("y1").alias("yb")).first()
-        size = max(1e-9, (span["yb"] - span["ya"]) / 64)
-        pairs = points.withColumn("b", F.explode(F.sequence(F.floor(F.col("y") / size) - 2, F.floor(F.col("y") / size) + 2))).join(zones.withColumn("b", F.explode(F.sequence(F.floor(F.col("y0") / size), F.floor(F.col("y1") / size)))), "b")
+    """The zone nearest to each point, least name on ties. points: id, y, x; zones: zone, y0, x0, y1, x1.
+
+    Square grids of LEVELS sizes, each twice the one before. A zone is entered at each size that is not
+    under its own, in four cells at most. The first size at which a zone is in one of the nine cells around
+    a point bounds the nearest distance by 2.83 sides, so the nine cells of four times that size hold the
+    nearest zone, unless it is larger; such zones are found at their own size. Points that meet no zone at
+    any size lie far outside of the layer and are compared with all of it.
+    """
+    c = F.col
+    span = zones.agg(F.min("y0"), F.min("x0"), F.max("y1"), F.max("x1"), F.max(F.greatest(c("y1") - c("y0"), c("x1") - c("x0")))).first()
+    ya, xa, yb, xb, largest = (v if v is not None else 0.0 for v in span)
+    base = (max(yb - ya, xb - xa, largest) or 1.0) / (1 << (LEVELS - 3))
+    side = lambda level: F.lit(base) * F.pow(F.lit(2.0), level)
+    cell = lambda v, low, level: F.floor((v - low) / side(level))
+    level = c("level")
+
+    size = F.greatest(c("y1") - c("y0"), c("x1") - c("x0"))
+    own = F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), F.lit(LEVELS - 1), lambda a, k: F.when(side(k) >= size, F.least(a, k)).otherwise(a))
+    entered = zones.withColumn("own", own).withColumn("level", F.explode(F.sequence(c("own"), F.lit(LEVELS - 1))))
+    entered = entered.withColumn("by", F.explode(F.sequence(cell(c("y0"), ya, level), cell(c("y1"), ya, level)))).withColumn("bx", F.explode(F.sequence(cell(c("x0"), xa, level), cell(c("x1"), xa, level))))
+
+    def around(p: DataFrame) -> DataFrame:
+        three = lambda v, low: F.explode(F.sequence(cell(v, low, level) - 1, cell(v, low, level) + 1))
+        return p.withColumn("by", three(c("y"), ya)).withColumn("bx", three(c("x"), xa))
+
+    all_points = points.select("id", "y", "x").distinct()
+    inside = all_points.filter((F.abs(c("y")) < 1e300) & (F.abs(c("x")) < 1e300) & (F.abs(c("y") - ya) < base * 2.0**40) & (F.abs(c("x") - xa) < base * 2.0**40))
+    tried = around(inside.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))))
+    first = tried.join(entered.select("level", "by", "bx").distinct(), ["level", "by", "bx"], "left_semi").groupBy("id", "y", "x").agg(F.min("level").alias("first"))
+    goal = first.withColumn("goal", F.least(c("first") + 2, F.lit(LEVELS - 1)))
+    looked = around(goal.withColumn("level", F.explode(F.sequence(c("goal"), F.lit(LEVELS - 1)))))
+    near = looked.join(entered, ["level", "by", "bx"]).filter((level == c("goal")) | (c("own") == level))
+    same = [all_points[k].eqNullSafe(first[k]) for k in ("id", "y", "x")]
+    rest = all_points.join(first, same[0] & same[1] & same[2], "left_anti").crossJoin(zones)
+    pairs = near.select("id", "y", "x", "zone", "y0", "x0", "y1", "x1").unionByName(rest.select("id", "y", "x", "zone", "y0", "x0", "y1", "x1"))
+    dy = F.greatest(c("y0") - c("y"), F.lit(0.0), c("y") - c("y1"))
+    dx = F.greatest(c("x0") - c("x"), F.lit(0.0), c("x") - c("x1"))
     return pairs.withColumn("d2", dy * dy + dx * dx).groupBy("id").agg(F.min_by("zone", F.struct("d2", "zone")).alias("zone"), F.round(F.min("d2"), 6).alias("d2"))
 
 

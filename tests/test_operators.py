@@ -133,3 +133,16 @@ def test_signals(spark):
     assert [s["code"] for s in got[0]["sites"]] == ["A", "Z"] and got[0]["permit"] == "tramitacion" and "refcat" not in got[0].asDict()
     one = publish.document(publish.signals(frame, "https://x.org/", "es"), "ES", F.lit("2026-10-13 07:02:41").cast("timestamp"))
     assert one.first()["generated"] == "2026-10-13T07:02Z" and publish.combine(one).first()["version"] == 1
+
+
+def test_nearest_of_a_large_layer(spark):
+    rng = random.Random(3)
+    # a dense town, a sparse country and a few wide zones, over 10,000 in all
+    low = [(rng.uniform(0, 5), rng.uniform(0, 5)) for _ in range(9_900)] + [(rng.uniform(0, 1000), rng.uniform(900, 1000)) for _ in range(200)]
+    zones = [(f"z{i}", y, x, y + rng.uniform(0, 0.05), x + rng.uniform(0, 0.05)) for i, (y, x) in enumerate(low)] + [("wide", 300.0, 100.0, 700.0, 160.0), ("twin", 300.0, 100.0, 700.0, 160.0)]
+    points = [(i, rng.uniform(-100, 1100), rng.uniform(-100, 1100)) for i in range(150)] + [(200 + i, rng.uniform(0, 5), rng.uniform(0, 5)) for i in range(50)] + [(300, 1e7, -1e7), (301, 500.0, 130.0)]
+    got = {r["id"]: (r["zone"], r["d2"]) for r in overlay.nearest(spark.createDataFrame(points, "id long, y double, x double"), spark.createDataFrame(zones, "zone string, y0 double, x0 double, y1 double, x1 double")).collect()}
+    assert len(got) == len(points) and got[301] == ("twin", 0.0)
+    for i, y, x in points:
+        d2, name = min((max(y0 - y, 0.0, y - y1) ** 2 + max(x0 - x, 0.0, x - x1) ** 2, z) for z, y0, x0, y1, x1 in zones)
+        assert got[i][0] == name and abs(got[i][1] - d2) <= 1e-6 * max(1, d2)
