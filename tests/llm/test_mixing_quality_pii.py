@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 
 import pytest
@@ -126,6 +127,40 @@ def test_terms_far_from_their_entity_are_found_everywhere(documents):
     assert all("zorblax" not in clean[i].lower() and "[PHONE]" in clean[i] for i in (1, 2, 3)) and clean[1].startswith("Dear [TERM], common")
 
 
+def test_long_runs_of_every_pattern(documents):
+    texts = ["a@b" + ".c" * 300_000, "1." * 40_000, "7 " * 200_000, "+1" * 100_000, "+1((((((" * 30_000 + "x", "a@b.c " * 10_000, "9" * 1_000_000]
+    got = {r["doc_id"]: r["s"] for r in pii.find(documents(texts)).select("doc_id", pii.joined(F.col("__base")).alias("s")).collect()}
+    wanted = {0: "email:0:600003", 1: ",".join(f"ip:{8 * i}:{8 * i + 7}" for i in range(10_000)), 5: ",".join(f"email:{6 * i}:{6 * i + 5}" for i in range(10_000))}
+    assert got == {i: wanted.get(i, "") for i in range(len(texts))}
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(documents(texts)).collect()}
+    assert clean[0] == "[EMAIL]" and clean[5] == "[EMAIL] " * 10_000 and clean[1].count("[IP]") == 10_000
+
+
+def test_terms_by_brute_force(documents):
+    rng = random.Random(3)
+    common = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(common) for _ in range(30)) for _ in range(400)]
+    for k in range(6):  # a firm's name beside its own domain, in texts that have nothing else in common
+        at = rng.randint(2, 20)
+        words = texts[k].split()
+        texts[k] = " ".join([*words[:at], "Zorblax", *words[at:], f"u{k}.x@firm.example"])
+    copy = " ".join(f"rare{i}" for i in range(30)) + " a.b@copied.example"
+    texts += [copy + " one", copy + " two"]  # words of one passage only tell the passage
+    got = {r["doc_id"]: r["s"] for r in pii.find(documents(texts)).select("doc_id", pii.joined(F.col("__spans")).alias("s")).collect()}
+    found = {i: [t for t in s.split(",") if t.startswith("term")] for i, s in got.items()}
+    assert {i for i, t in found.items() if t} == set(range(6))
+    assert all([texts[i][int(t.split(":")[1]) : int(t.split(":")[2])] for t in found[i]] == ["Zorblax"] for i in range(6))
+
+
+def test_columns_with_the_names_in_use_come_back(documents):
+    docs = documents(["mail a@b.cd now", None])
+    for name in ("__rid", "__base", "__spans", "__t", "__terms", "__clean", "row"):
+        docs = docs.withColumn(name, F.lit(name))
+    got = pii.sanitise(docs)
+    assert got.columns == docs.columns and {r["text"] for r in got.collect()} == {"mail [EMAIL] now", None}
+    assert all(r["__rid"] == "__rid" and r["row"] == "row" for r in got.collect())
+
+
 def test_odd_rows_are_sanitised(odd):
     got = pii.sanitise(odd)
     assert got.columns == odd.columns and sorted(map(str, got.select("doc_id", "text").collect())) == sorted(map(str, odd.select("doc_id", "text").collect()))
