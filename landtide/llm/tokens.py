@@ -4,7 +4,7 @@ A text is cut at blanks and line breaks, where both vocabularies have a token bo
 a slice of texts are made distinct in Arrow; each one not yet known goes through the tokenizers
 library, new words of letters together in one string; ids are then gathered in numpy. For the
 byte-level vocabulary the cuts are exact where white space stands alone; a text with a run of white
-space goes through the library whole.
+space, or with the string of an added token, goes through the library whole.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def vocabulary(name: str) -> str:
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids, as the library itself would.
+    """Encodes texts to little-endian unsigned 32-bit ids, as the library itself does.
 
     spaced: white space belongs to tokens (byte-level vocabularies), and a blank to the token after
     it; otherwise the vocabulary lowers case and drops white space.
@@ -43,8 +43,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         # where in the ids of joined words each word begins (after a blank, or a line break) or ends
@@ -73,7 +73,7 @@ class Encoder:
             self.memo.update((w, data[4 * a : 4 * b]) for w, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
 
     def _learn(self, chunks: list[str]) -> set[str]:
-        """Make every chunk known; returns those beside which white space doesn't stand alone, which stay unknown."""
+        """Make every chunk known; returns those beside which white space doesn't stand alone or that hold an added token, which stay unknown."""
         memo = self.memo
         if len(memo) > MEMO_ENTRIES:
             memo.clear()
@@ -81,7 +81,10 @@ class Encoder:
         lines: set[str] = set()
         marked, rest, lowered, bad = [], [], [], set()
         for c in [c for c in chunks if c not in memo]:
-            if not self.spaced and c.isascii() and (low := c.lower()) != c:
+            if any(t in c for t in self.added):
+                bad.add(c)
+                continue
+            if not self.spaced and c.isascii() and (low := c.lower()) != c and not any(t in low for t in self.added):
                 lowered.append((c, low))
                 c = low
                 if c in memo:

@@ -7,10 +7,14 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from landtide.llm import dac, packing, sharding, tokens
+from landtide.llm import dac, packing, queries, sharding, tokens
 from landtide.llm.shared import new_path
 
+SF = "/root/testdata/sf0.001"
+FRESH: dict = {}
+
 
 def brute(sizes, shards):
     best = None
@@ -51,22 +55,90 @@ def test_odd_rows_are_sharded(odd):
     assert sharding.shard(odd.limit(0), 3, F.col("text"), F.lit(1).cast("long")).count() == 0
 
 
-WEIRD = ["", " ", "  ", "a  b", "a   b", " a", "a ", "\n\na \n b\n", "x\ty  z", "don't can't'll 's", "É é İSTANBUL ΣΑΣ", "<|endoftext|> x", "foo.\nBar baz.\n\nQux", "a b   c", "\x1c\x1d a\x1fb", "123 4.5e6 a1b2 \U0001f600", "\r\n x\r\ny", "日本語 テキスト。", "!!!\nabc", "abc\n", "a\n\t\tb", "a \nb c", "x" * 5000]
+ENDED = {"byte_bpe_50k.json": [31373, 220, 50256, 995], "word_bpe_49k.json": [3306, 49407, 1002]}
+WEIRD = ["a<|endoftext|>b", "<|ENDOFTEXT|> and <|startoftext|>\n<|endoftext|>.", "<|startoftext|> <|STARTOFTEXT|>", "<|endoftext|", "", " ", "  ", "a  b", "a   b", " a", "a ", "\n\na \n b\n", "x\ty  z", "don't can't'll 's", "É é İSTANBUL ΣΑΣ", "<|endoftext|> x", "foo.\nBar baz.\n\nQux", "a b   c", "\x1c\x1d a\x1fb", "123 4.5e6 a1b2 \U0001f600", "\r\n x\r\ny", "日本語 テキスト。", "!!!\nabc", "abc\n", "a\n\t\tb", "a \nb c", "x" * 5000]
 
 
 @pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_memoised_ids_are_those_of_the_library(name, spaced):
     e = tokens.Encoder(tokens.vocabulary(name), spaced)
-    wanted = [np.array(x.ids, "<u4").tobytes() for x in e.tokenizer.encode_batch(WEIRD * 2, add_special_tokens=False)]
+    fresh = Tokenizer.from_file(tokens.vocabulary(name))
+    wanted = [np.array(x.ids, "<u4").tobytes() for x in fresh.encode_batch(WEIRD * 2, add_special_tokens=False)]
     assert e.encode_many(WEIRD * 2) == wanted
+    assert e.encode_many(["hello <|endoftext|> world"]) == [np.array(ENDED[name], "<u4").tobytes()]
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="aB é.,'\n\t  1!x", max_size=30))
 def test_memoised_ids_of_any_text(text):
     for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
-        e = tokens.encoder(tokens.vocabulary(name), spaced)
-        assert e.encode_many([text]) == [np.array(e.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+        fresh = FRESH.setdefault(name, Tokenizer.from_file(tokens.vocabulary(name)))
+        assert tokens.encoder(tokens.vocabulary(name), spaced).encode_many([text]) == [np.array(fresh.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "|>", " ", "\n", "a", "B.", "'s"]), max_size=12))
+def test_added_tokens_anywhere(parts):
+    test_memoised_ids_of_any_text.hypothesis.inner_test("".join(parts))
+
+
+def by_library(name, text):
+    return np.array(FRESH.setdefault(name, Tokenizer.from_file(tokens.vocabulary(name))).encode(text or "", add_special_tokens=False).ids, "<u4")
+
+
+def test_op8_of_every_document(spark):
+    """The registered query, against a fresh tokenizer on whole texts."""
+    rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    got = {r["doc_id"]: r for r in queries.QUERIES["op8_addressable_codes"](spark, SF).collect()}
+    at = 0
+    for d, t in rows:
+        ids = np.append(by_library("word_bpe_49k.json", t), np.uint32(1)).astype("<u4")
+        assert (got[d]["start"], got[d]["n_tokens"], got[d]["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert len(got) == len(rows)
+
+
+def test_op2_of_every_document(spark):
+    """The registered query: pieces are the documents' ids by a fresh tokenizer, sequences have no gaps and little padding."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    docs, sequences = defaultdict(list), defaultdict(list)
+    for r in queries.QUERIES["op2_dp_packing"](spark, SF).collect():
+        docs[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(docs) == set(texts)
+    for d, rows in docs.items():
+        ids, at = np.append(by_library("byte_bpe_50k.json", texts[d]), np.uint32(0)).astype("<u4"), 0
+        for r in sorted(rows, key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())
+            at += r["length"]
+        assert at == len(ids)
+    padded = used = 0
+    for rows in sequences.values():
+        at = 0
+        for offset, length in sorted(rows):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 1024
+        used, padded = used + at, padded + (0 if at & (at - 1) == 0 else 1024 - at)
+    assert padded < 0.05 * used
+
+
+def test_op1_of_every_document(spark):
+    """The registered query: sizes, checksums, whole groups, gapless slots and shards of near equal bytes."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    rows, home, slots, sizes = queries.QUERIES["op1_minimax_sharding"](spark, SF).collect(), {}, defaultdict(list), Counter()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        raw = (texts[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 16, zlib.crc32(raw), "bytes", None)
+        assert home.setdefault(raw, r["shard"]) == r["shard"] and 0 <= r["shard"] < 40
+        slots[r["shard"]].append(r["slot"])
+        sizes[raw] += r["size"]
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    loads = Counter()
+    for raw, n in sizes.items():
+        loads[home[raw]] += n
+    assert max(loads.values()) <= max(max(sizes.values()), 1.35 * sum(sizes.values()) / 40)
 
 
 @settings(max_examples=100, deadline=None)
