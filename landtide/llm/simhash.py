@@ -10,7 +10,13 @@ radius so meets in one of 2 ** (radius + 1) - 1 tables, without exception.
 Fingerprints are made distinct first, so copies never meet each other. Buckets are streamed in
 sorted order; within one, a spanning tree of its links is emitted, not its pairs. A bucket of more
 than BUCKET_ROWS is dealt out again by radius + 1 blocks of bits, one of which any pair within the
-radius shares, and goes to another round.
+radius shares, and goes to another round; each round's blocks are others, so buckets shrink until
+they fit.
+
+near_copies() finds texts alike in SIMILARITY of their five-word shingles or more. Near copies keep most
+of their words, while an edit changes five shingles, so it takes SEEDS fingerprints of the set of words:
+two texts whose fingerprints lie within the radius for any seed meet in a table, and what has met is
+compared exactly, in whole shingle sets.
 """
 
 from __future__ import annotations
@@ -23,10 +29,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import stash, table
+from .shared import discard, stash, table
 
-BUCKET_ROWS, DIRECT_ROWS, ROUNDS = 200_000, 2_000, 3
+BUCKET_ROWS, DIRECT_ROWS, ROUNDS = 200_000, 2_000, 12
 BITS = 64
+#: Of near_copies(): words of a shingle, similarity, fingerprints of a text and what one of them may differ by
+#: at most in a candidate pair, and how many partners of other groups a row tries before all of them.
+SHINGLE, SIMILARITY, SEEDS, FARTHEST, FIRST_TRIES = 5, (4, 5), 3, 14, 4
+#: Bounds of memory: known words, candidates in one batch, rows of a broadcast key table.
+MEMO_WORDS, SLICE, BROADCAST_ROWS = 500_000, 200_000, 1_000_000
 
 
 def masks(radius: int) -> list[int]:
@@ -188,17 +199,273 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, key: str
     return made.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that of its smallest key (of equal keys, of the least text hash).
+def _hashes(text: bytes, memo: dict[bytes, int]) -> np.ndarray:
+    """The hash of each word, A-Z in lower case."""
+    import xxhash
+
+    words = text.lower().split()
+    if len(memo) > MEMO_WORDS:
+        memo.clear()
+    for w in words:
+        if w not in memo:
+            memo[w] = xxhash.xxh64_intdigest(w, 42)
+    return np.fromiter(map(memo.__getitem__, words), "u8", len(words))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+        return x ^ (x >> np.uint64(32))
+
+
+def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of word hashes; fewer words are one shingle, none have none."""
+    size = min(size, len(words))
+    out = np.zeros(len(words) - size + 1 if size else 0, "u8")
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            out = _mixed(out + np.uint64(size)) + words[k : len(words) - size + k + 1]
+    return np.unique(_mixed(out))
+
+
+def word_prints(words: np.ndarray) -> list[int]:
+    """SEEDS fingerprints of the set of words, signed."""
+    own, out = np.unique(words), []
+    for k in range(SEEDS):
+        ones = np.zeros(BITS, "i8")
+        for lo in range(0, len(own), 50_000):
+            h = _mixed(own[lo : lo + 50_000] + np.uint64(k))
+            ones += np.unpackbits(h.view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="i8")
+        out.append(int(np.packbits(2 * ones > len(own), bitorder="little").view("<i8")[0]))
+    return out
+
+
+def _texts(batch: pa.RecordBatch, i: int) -> Iterator[bytes]:
+    return (x.as_py() for x in batch.column(i).cast(pa.binary()))
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, th, text): doc_id, th, sid (hash of the shingle set), n (its size) and the fingerprints."""
+    import xxhash
+
+    memo: dict[bytes, int] = {}
+    for batch in batches:
+        rows = []
+        for t in _texts(batch, 2):
+            words = _hashes(t, memo)
+            held = shingles(words)
+            rows.append((xxhash.xxh64_intdigest(held.tobytes(), 7), len(held), *word_prints(words)))
+        cols = list(zip(*rows, strict=True)) if rows else [()] * (2 + SEEDS)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(cols[0], "u8").view("i8")), *[pa.array(c, pa.int64()) for c in cols[1:]]], ["doc_id", "th", "sid", "n", *[f"f{k}" for k in range(SEEDS)]])
+
+
+def _alike(shared, n, m):
+    """Do sets of n and m elements with so many shared ones reach SIMILARITY? In whole numbers."""
+    num, den = SIMILARITY
+    return shared * (num + den) >= num * (n + m)
+
+
+def _whole_buckets(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[bool, list[np.ndarray]]]:
+    """Columns of rows sorted by the first: (False, some whole buckets), or (True, a part of a bucket of more than ``most`` rows)."""
+    waiting: list[list[np.ndarray]] = []
+    held, hot = 0, None
+    for batch in batches:
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)]
+        if hot is not None and len(batch):
+            n = int(np.searchsorted(cols[0] != hot, True))
+            if n:
+                yield True, [c[:n] for c in cols]
+            cols = [c[n:] for c in cols]
+            hot = None if len(cols[0]) else hot
+        if not len(cols[0]):
+            continue
+        if not (waiting and waiting[0][0][0] == cols[0][-1]):
+            cols = [np.concatenate(x) for x in zip(*waiting, cols, strict=True)] if waiting else cols
+            cut = len(cols[0]) - int(np.argmax((cols[0] != cols[0][-1])[::-1])) if cols[0][0] != cols[0][-1] else 0
+            if cut:
+                yield False, [c[:cut] for c in cols]
+            waiting, held = [], 0
+            cols = [c[cut:] for c in cols]
+        waiting.append(cols)  # a bucket over several batches is put together once
+        held += len(cols[0])
+        if held > most:
+            hot = waiting[0][0][0]
+            yield from ((True, part) for part in waiting)
+            waiting, held = [], 0
+    if waiting:
+        yield False, [np.concatenate(x) for x in zip(*waiting, strict=True)]
+
+
+MET = "kind byte, bucket long, a long, b long, fp long, n long"
+
+
+def _meet(radius: int, depth: int):
+    """Streams (bucket, sid, fp, n) sorted by bucket.
+
+    Yields pairs with a head of their bucket that may be alike (kind 0), the rows of buckets that hold more
+    pairs (kind 1), and rows of buckets that are dealt out again (kind 2).
+    """
+    blocks = dealt(radius, depth)
+
+    def out(kind: int, bucket, a, b, fp, n) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, "i1")), *[pa.array(x.view("i8")) for x in (bucket, a, b, fp, n)]], ["kind", "bucket", "a", "b", "fp", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for is_hot, (bucket, sid, fp, n) in _whole_buckets(batches, BUCKET_ROWS if depth < ROUNDS - 1 else 1 << 62):
+            if is_hot:
+                for k, block in enumerate(blocks):
+                    with np.errstate(over="ignore"):
+                        key = _mixed((bucket.view("u8") * np.uint64(31) + np.uint64(k + 1)) ^ _mixed(fp.view("u8") & np.uint64(block)))
+                    yield out(2, key, sid, sid, fp, n)
+                continue
+            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            sizes = np.diff(np.append(starts, len(bucket)))
+            i = starts[sizes == 2]
+            j = i + 1
+            fits = _possible(fp, n, i, j)
+            a, b = [sid[i[fits]]], [sid[j[fits]]]
+            for s, m in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+                left = np.arange(s, s + m)
+                while len(left) > 1:
+                    head, left = left[0], left[1:]
+                    near = _possible(fp, n, head, left)
+                    a.append(np.full(int(near.sum()), sid[head]))
+                    b.append(sid[left[near]])
+                    left = left[~near]
+            a, b = np.concatenate(a), np.concatenate(b)
+            none = np.zeros(len(a), "i8")
+            yield out(0, none, a, b, none, none)
+            more = np.repeat(sizes > 2, sizes)
+            yield out(1, bucket[more], sid[more], sid[more], fp[more], n[more])
+
+    return run
+
+
+def _possible(fp: np.ndarray, n: np.ndarray, i, j) -> np.ndarray:
+    num, den = SIMILARITY
+    return (np.bitwise_count(fp[i].view("u8") ^ fp[j].view("u8")) <= FARTHEST) & (np.minimum(n[i], n[j]) * den >= np.maximum(n[i], n[j]) * num)
+
+
+def _cross(tries: int | None):
+    """Streams (bucket, sid, fp, n, root) sorted by bucket; yields pairs of different roots that may be alike: for each row the ``tries`` nearest, or all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+
+        def ready() -> pa.RecordBatch:
+            pairs = np.concatenate(found, 1) if found else np.zeros((2, 0), "i8")
+            one = np.unique(np.sort(pairs, 0), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(one[0]), pa.array(one[1])], ["a", "b"])
+
+        for _, (bucket, sid, fp, n, root) in _whole_buckets(batches, 1 << 62):
+            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True):
+                if (root[s:e] == root[s]).all():
+                    continue
+                for i in range(s, e):
+                    other = np.flatnonzero(root[s:e] != root[i]) + s
+                    other = other[_possible(fp, n, i, other)]
+                    if tries and len(other) > tries:
+                        far = np.bitwise_count(fp[other].view("u8") ^ fp[i : i + 1].view("u8"))
+                        other = other[np.argpartition(far, tries - 1)[:tries]]
+                    if len(other):
+                        found.append(np.stack([np.full(len(other), sid[i]), sid[other]]))
+                        held += len(other)
+                    if held >= SLICE:
+                        yield ready()
+                        found, held = [], 0
+        yield ready()
+
+    return run
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memo: dict[bytes, int] = {}
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(_hashes(t, memo)).tobytes() for t in _texts(batch, 1)], pa.binary())], ["sid", "x"])
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, x, y), x and y being whole sets: those that are alike."""
+    for batch in batches:
+        keep = []
+        for i in range(len(batch)):
+            x, y = (np.frombuffer(batch.column(k)[i].as_buffer(), "u8") for k in (2, 3))
+            both = np.sort(np.concatenate([x, y]), kind="stable")
+            keep.append(bool(_alike(int((both[1:] == both[:-1]).sum()), len(x), len(y))))
+        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+
+def _hashed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+
+
+def near_copies(docs: DataFrame, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """sid, doc_id, th, n_rows and root of each distinct shingle set: its smallest key, that row's text hash, its rows, and one root for what pairs of SIMILARITY connect.
+
+    Any two texts alike that lie within ``radius`` for one of the fingerprints are linked; farther ones
+    mostly are, and no pair below the similarity is. A null text counts as empty; all rows without words
+    are one set. A text of any length is taken whole. An empty input gives none.
+    """
+    made = _hashed(docs, key, text).mapInArrow(_sketched, "doc_id long, th long, sid long, n long, " + ", ".join(f"f{k} long" for k in range(SEEDS)))
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th")))
+    nodes = made.groupBy("sid").agg(first.alias("one"), F.min("th").alias("any"), F.count("*").alias("n_rows"), F.first("n").alias("n"), *[F.first(f"f{k}").alias(f"f{k}") for k in range(SEEDS)])
+    nodes = stash(nodes, "nodes")
+    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks(radius)]
+    keys = F.array(*[F.struct(F.xxhash64(F.lit(k), F.lit(i), F.col(f"f{k}").bitwiseAND(F.lit(m).cast("long"))).alias("bucket"), F.col(f"f{k}").alias("fp")) for k in range(SEEDS) for i, m in enumerate(signed)])
+    rows = nodes.select(F.explode(keys).alias("k"), "sid", "n").select("k.bucket", "sid", "k.fp", "n")
+    pairs = members = None
+    for depth in range(ROUNDS):
+        met = stash(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet(radius, depth), MET), "met")
+        these, those = met.filter("kind = 0").select("a", "b"), met.filter("kind = 1").select("bucket", F.col("a").alias("sid"), "fp", "n")
+        pairs, members = (these, those) if pairs is None else (pairs.unionAll(these), members.unionAll(those))
+        rows = met.filter("kind = 2").select("bucket", F.col("a").alias("sid"), "fp", "n")
+        if rows.isEmpty():
+            break
+    tried = stash(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    links = _checked(docs, nodes, tried, key, text)
+    roots = components(links)
+    for tries in (FIRST_TRIES, None):
+        known = members.join(roots, F.col("sid") == F.col("u"), "left").select("bucket", "sid", "fp", "n", F.coalesce("v", "sid").alias("root"))
+        crossing = known.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_cross(tries), "a long, b long").distinct()
+        crossing = stash(crossing.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if crossing.isEmpty():
+            break
+        tried = tried.unionAll(crossing)
+        links = links.unionAll(_checked(docs, nodes, crossing, key, text))
+        roots = components(links)
+    return nodes.join(roots, F.col("sid") == F.col("u"), "left").select("sid", "one.doc_id", "one.th", "n_rows", F.coalesce("v", "sid").alias("root"))
+
+
+def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
+    """Those of the distinct ``pairs`` a, b whose shingle sets reach SIMILARITY. Sets are made again, for one text of each."""
+    involved = stash(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct().join(nodes.select("sid", F.col("any").alias("th")), "sid"), "involved")
+    texts = _hashed(docs, key, text).select("th", "t")
+    small = involved.count() <= BROADCAST_ROWS
+    if small:
+        texts = texts.join(F.broadcast(involved.select("th")), "th", "left_semi")
+    once = texts.groupBy("th").agg(F.first("t").alias("t")).join(involved, "th").select("sid", "t")
+    whole = stash(once.mapInArrow(_sets, "sid long, x binary"), "whole-sets")
+    both = pairs.join(whole.select(F.col("sid").alias("a"), "x"), "a").join(whole.select(F.col("sid").alias("b"), F.col("x").alias("y")), "b").select("a", "b", "x", "y")
+    out = stash(both.mapInArrow(_verify, "a long, b long"), "alike")
+    discard(whole)
+    discard(involved)
+    return out
+
+
+def keep_one(docs: DataFrame, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of its smallest key (of equal keys, of the least text hash).
 
-    Rows with a null key can't be told apart and all stay. Columns are as given.
+    Rows with a null key can't be told apart and all stay. Columns, whatever their names, are as given.
     """
-    found = near_duplicates(docs, shingle, radius, key, text)
-    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct()
-    own = docs.join(first, docs[key] == first["__first"], "left_semi")
-    order = Window.partitionBy(key).orderBy(F.xxhash64(text))
-    one = own.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").drop("__nth")
-    return one.unionByName(docs.filter(F.col(key).isNull()))
+    names = docs.columns
+    found = near_copies(docs, radius, key, text).filter("doc_id is not null")
+    best = found.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("s")).select("s.doc_id", "s.th").distinct()
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"))
+    once = Window.partitionBy("doc_id", "th").orderBy(F.lit(1))
+    kept = own.join(best, ["doc_id", "th"], "left_semi").withColumn("nth", F.row_number().over(once)).filter("nth = 1")
+    return kept.unionByName(own.filter("doc_id is null").withColumn("nth", F.lit(1))).select("row.*")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
