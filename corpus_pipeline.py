@@ -5,8 +5,8 @@ a DataFrame. All but the last return the columns of documents. run() writes each
 Parquet in the shared folder and reads it again for the next one, so a lost executor costs tasks of
 one stage only.
 
-Near-duplicates are texts alike in 0.8 of their five-word shingles or more, all pairs of them; the four
-bits of the fingerprint operator bind only its own query.
+Near-duplicates are texts alike in 0.8 of their five-word shingles or more, found by covering fingerprints
+of their words and compared exactly; the four bits of 4-word shingles bind only the operator's own query.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landtide.llm import mixing, packing, pii, quality, similar
+from landtide.llm import mixing, packing, pii, quality, simhash
 from landtide.llm.shared import stash, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -31,8 +31,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates, that of the smallest doc_id."""
-    return _documents(similar.keep_one(docs))
+    """One document of each group of near copies, that of the smallest doc_id."""
+    return _documents(simhash.keep_one(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
