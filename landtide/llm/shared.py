@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +15,12 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir, as a URI.
 
-    Only where that setting is absent (tests, local mode) does this make a temporary folder.
+    Only in local mode, where that setting is absent, does this make a temporary folder; on a cluster
+    the executors could not reach one.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and every executor share")
     if not found:
         found = getattr(spark, "_landtide_shared", None)
         if not found:
@@ -41,13 +47,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder below the shared one; the caller no longer reads it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def discard(df: DataFrame) -> None:
     """Remove what stash() wrote for ``df``; the caller no longer reads it."""
     path = getattr(df, "_landtide_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+        remove(df.sparkSession, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,3 +71,34 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     or lambda functions, where they would be evaluated again for each use or each element.
     """
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[bool, list[np.ndarray]]]:
+    """Columns of rows sorted by the first: (False, some whole groups of equal first values), or (True, a part of a group of more than ``most`` rows)."""
+    waiting: list[list[np.ndarray]] = []
+    held, hot = 0, None
+    for batch in batches:
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)]
+        if hot is not None and len(batch):
+            n = int(np.searchsorted(cols[0] != hot, True))
+            if n:
+                yield True, [c[:n] for c in cols]
+            cols = [c[n:] for c in cols]
+            hot = None if len(cols[0]) else hot
+        if not len(cols[0]):
+            continue
+        if not (waiting and waiting[0][0][0] == cols[0][-1]):
+            cols = [np.concatenate(x) for x in zip(*waiting, cols, strict=True)] if waiting else cols
+            cut = len(cols[0]) - int(np.argmax((cols[0] != cols[0][-1])[::-1])) if cols[0][0] != cols[0][-1] else 0
+            if cut:
+                yield False, [c[:cut] for c in cols]
+            waiting, held = [], 0
+            cols = [c[cut:] for c in cols]
+        waiting.append(cols)  # a group over several batches is put together once
+        held += len(cols[0])
+        if held > most:
+            hot = waiting[0][0][0]
+            yield from ((True, part) for part in waiting)
+            waiting, held = [], 0
+    if waiting:
+        yield False, [np.concatenate(x) for x in zip(*waiting, strict=True)]

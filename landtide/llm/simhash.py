@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import discard, stash, table
+from .shared import discard, stash, table, whole_groups
 
 BUCKET_ROWS, DIRECT_ROWS, ROUNDS = 200_000, 2_000, 12
 BITS = 64
@@ -266,37 +266,6 @@ def _alike(shared, n, m):
     return shared * (num + den) >= num * (n + m)
 
 
-def _whole_buckets(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[bool, list[np.ndarray]]]:
-    """Columns of rows sorted by the first: (False, some whole buckets), or (True, a part of a bucket of more than ``most`` rows)."""
-    waiting: list[list[np.ndarray]] = []
-    held, hot = 0, None
-    for batch in batches:
-        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)]
-        if hot is not None and len(batch):
-            n = int(np.searchsorted(cols[0] != hot, True))
-            if n:
-                yield True, [c[:n] for c in cols]
-            cols = [c[n:] for c in cols]
-            hot = None if len(cols[0]) else hot
-        if not len(cols[0]):
-            continue
-        if not (waiting and waiting[0][0][0] == cols[0][-1]):
-            cols = [np.concatenate(x) for x in zip(*waiting, cols, strict=True)] if waiting else cols
-            cut = len(cols[0]) - int(np.argmax((cols[0] != cols[0][-1])[::-1])) if cols[0][0] != cols[0][-1] else 0
-            if cut:
-                yield False, [c[:cut] for c in cols]
-            waiting, held = [], 0
-            cols = [c[cut:] for c in cols]
-        waiting.append(cols)  # a bucket over several batches is put together once
-        held += len(cols[0])
-        if held > most:
-            hot = waiting[0][0][0]
-            yield from ((True, part) for part in waiting)
-            waiting, held = [], 0
-    if waiting:
-        yield False, [np.concatenate(x) for x in zip(*waiting, strict=True)]
-
-
 MET = "kind byte, bucket long, a long, b long, fp long, n long"
 
 
@@ -312,7 +281,7 @@ def _meet(radius: int, depth: int):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, "i1")), *[pa.array(x.view("i8")) for x in (bucket, a, b, fp, n)]], ["kind", "bucket", "a", "b", "fp", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for is_hot, (bucket, sid, fp, n) in _whole_buckets(batches, BUCKET_ROWS if depth < ROUNDS - 1 else 1 << 62):
+        for is_hot, (bucket, sid, fp, n) in whole_groups(batches, BUCKET_ROWS if depth < ROUNDS - 1 else 1 << 62):
             if is_hot:
                 for k, block in enumerate(blocks):
                     with np.errstate(over="ignore"):
@@ -358,7 +327,7 @@ def _cross(tries: int | None):
             one = np.unique(np.sort(pairs, 0), axis=1)
             return pa.RecordBatch.from_arrays([pa.array(one[0]), pa.array(one[1])], ["a", "b"])
 
-        for _, (bucket, sid, fp, n, root) in _whole_buckets(batches, 1 << 62):
+        for _, (bucket, sid, fp, n, root) in whole_groups(batches, 1 << 62):
             starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True):
                 if (root[s:e] == root[s]).all():

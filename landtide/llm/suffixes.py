@@ -1,14 +1,20 @@
 """Exact removal of long repeats, by a logarithmic family of sampled suffix arrays.
 
-A full suffix array holds an entry for every byte. Here entries are sampled so that no repeat of
+A full suffix array holds an entry for every byte. Here suffixes are sampled so that no repeat of
 LENGTH bytes is lost: of the K-byte strings in each window of LENGTH bytes the one with the least
 hash is the window's anchor, so equal windows have equal anchors at equal places. A run of windows
-with one anchor is an entry: the anchor's hash, the hash of the run's bytes, and where it lies.
-Each slice's entries are sorted by anchor; they are the suffixes that start there.
-
-A new batch's entries are merge-scanned, by anchor, against the levels before it and itself. Runs
-with equal bytes are covered whole. Runs that share an anchor only are compared window by window.
-Levels of equal rank merge into one of the next rank, so there are at most log2(batches) + 1.
+with one anchor is an entry: the suffix that starts at the anchor, and the hash of the run's bytes. A
+level is the array of its entries in the order of their suffixes' first eight bytes; those that agree in
+them stand by the hash of their first K bytes, and then by that of their run, so whatever shares K bytes
+lies together. It is dealt into parts by the hash of the K bytes, each in a file of its own.
+
+A new batch gets such an array, which is merged with those of the levels before it, part by part, and
+scanned once: runs with equal bytes are covered whole, those that share K bytes only are compared window
+by window. Levels of equal rank merge into one of the next rank in the same scan, so there are at most
+log2(batches) + 1, and an entry is written anew as often.
+
+Texts are kept once, in files; what is asked of them and what is covered goes to their files, so texts
+are never shuffled.
 """
 
 from __future__ import annotations
@@ -17,19 +23,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import discard, stash, table
+from .shared import new_path, remove, stash, table, whole_groups
 
 LENGTH, K, SLICE = 200, 64, 250_000
 #: Entries of one anchor that are compared in memory; more go by shuffles.
 GROUP_ROWS = 50_000
-#: Words of 64 bits in a bitmap of hashes (4 MB). It is the only thing that is broadcast, of one size
-#: for any input, and it lets through more than it must, never less.
-WORDS = 1 << 19
+#: Runs of one anchor that are compared in one task; of more, windows are dealt by their place before the anchor.
+HOT_RUNS, OFFSETS = 1_000, 20
+#: Bytes of text for each part of the levels, bytes in a batch of a text file, and op10's batches.
+PART_BYTES, BLOCK_BYTES, BATCHES = 8 << 20, 4 << 20, 4
 _BITS = np.uint64((1 << 21) - 1)
-ENTRY = "m long, c long, doc_id long, h long, a long, n int"
+ENTRY = "part long, p long, m long, c long, tid long, place long"
+COLUMNS = ["part", "p", "m", "c", "tid", "place"]
 
 
 class _Hash:
@@ -80,10 +90,10 @@ def _sliding_least(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of concatenated texts: each run's anchor hash, hash of its bytes, first window and number of windows."""
+    """Of concatenated texts: each run's anchor hash, hash of its bytes, first window, number of windows and anchor."""
     n = len(data)
     if n < LENGTH:
-        return (np.zeros(0, "u8"), np.zeros(0, "u8"), np.zeros(0, "i8"), np.zeros(0, "i8"))
+        return (np.zeros(0, "u8"), np.zeros(0, "u8"), np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0, "i8"))
     h = _hash(1)
     sums = h.sums(data)
     at = np.arange(n - K + 1)
@@ -96,71 +106,201 @@ def runs(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     count = np.diff(np.append(first, n - LENGTH + 1))
     good = key[first] >= 0
     first, count = first[good], count[good]
-    return grams[key[first]], h.of(sums, first, first + count + LENGTH - 1), first, count
+    return grams[key[first]], h.of(sums, first, first + count + LENGTH - 1), first, count, key[first]
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
-    """(doc_id, h, offset) and bytes of texts, together SLICE bytes or little more; a longer text comes in overlapping parts."""
+def _slices(texts: Iterator[tuple[int, bytes]]) -> Iterator[tuple[list, list[bytes]]]:
+    """(tid, offset) and bytes of texts, together SLICE bytes or little more; a longer text comes in overlapping parts."""
     keys, parts, size = [], [], 0
-    for batch in batches:
-        for d, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            whole = text.as_py()
-            for lo in range(0, max(1, len(whole) - LENGTH + 1), SLICE):
-                part = whole[lo : lo + SLICE + LENGTH - 1]
-                if len(part) < LENGTH:
-                    continue
-                if size and size + len(part) > SLICE:
-                    yield keys, parts
-                    keys, parts, size = [], [], 0
-                keys.append((d, h, lo))
-                parts.append(part)
-                size += len(part)
+    for tid, whole in texts:
+        for lo in range(0, max(1, len(whole) - LENGTH + 1), SLICE):
+            part = whole[lo : lo + SLICE + LENGTH - 1]
+            if len(part) < LENGTH:
+                continue
+            if size and size + len(part) > SLICE:
+                yield keys, parts
+                keys, parts, size = [], [], 0
+            keys.append((tid, lo))
+            parts.append(part)
+            size += len(part)
     if parts:
         yield keys, parts
 
 
-def _places(m: np.ndarray, c: np.ndarray, doc_id: np.ndarray, h: np.ndarray, a: np.ndarray) -> np.ndarray:
-    """One number for each entry."""
-    out = np.zeros(len(m), "u8")
-    with np.errstate(over="ignore"):
-        for x in (m, c, doc_id, h, a):
-            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + x.view("u8"))
-    return out
+class _Output:
+    """A file in shared storage, under its name only once it is whole; a task that runs again replaces it with equal bytes."""
+
+    def __init__(self, uri: str, schema: pa.Schema):
+        self.store, self.name = fs.FileSystem.from_uri(uri)
+        self.store.create_dir(self.name.rpartition("/")[0], recursive=True)
+        self.temporary = f"{self.name}.{TaskContext.get().taskAttemptId()}.tmp"
+        self.stream = self.store.open_output_stream(self.temporary)
+        self.writer = pa.ipc.new_stream(self.stream, schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+
+    def close(self) -> None:
+        self.writer.close()
+        self.stream.close()
+        if self.store.get_file_info(self.name).type != fs.FileType.NotFound:
+            self.store.delete_file(self.name)
+        self.store.move(self.temporary, self.name)
+
+
+def _blocks(uri: str) -> Iterator[pa.RecordBatch]:
+    store, name = fs.FileSystem.from_uri(uri)
+    with store.open_input_stream(name) as f, pa.ipc.open_stream(f) as blocks:
+        yield from blocks
+
+
+def _keeper(folder: str, base: int):
+    """Writes (doc_id, b) rows to one file for each task; yields its number, rows and bytes."""
+    schema = pa.schema([("doc_id", pa.int64()), ("b", pa.binary())])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, rows, total, out = base + TaskContext.get().partitionId(), 0, 0, None
+        for batch in batches:
+            ends = np.cumsum([len(b) for b in batch.column(1).to_pylist()]) if len(batch) else np.zeros(0, "i8")
+            cuts = np.flatnonzero(np.diff(ends // BLOCK_BYTES)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+                if hi > lo:
+                    out = out or _Output(f"{folder}/{number}", schema)
+                    out.writer.write_batch(pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)], schema=schema))
+            rows, total = rows + len(batch), total + (int(ends[-1]) if len(batch) else 0)
+        if out:
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (number, rows, total)], ["file", "rows", "bytes"])
+
+    return write
 
 
-def _entries(wanted=None):
-    """The entries of texts; with ``wanted`` (a broadcast bitmap of places) only those that it holds, with their bytes."""
+def _texts(folder: str, number: int) -> Iterator[tuple[int, object, bytes]]:
+    """(tid, doc_id, bytes) of a file of texts; a tid is the number of the file and the row's place in it."""
+    row = 0
+    for block in _blocks(f"{folder}/{number}"):
+        for d, b in zip(block.column(0).to_pylist(), block.column(1), strict=True):
+            yield (number << 32) + row, d, b.as_py()
+            row += 1
+
+
+def _entries(folder: str, parts: int):
+    """The entries of the texts of files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number in (n for batch in batches for n in batch.column(0).to_pylist()):
+            for keys, texts in _slices((tid, b) for tid, _, b in _texts(folder, number)):
+                data = np.frombuffer(b"".join(texts), "u1")
+                lengths = np.array([len(t) for t in texts], "i8")
+                m, c, first, count, anchor = runs(data, lengths)
+                ends = np.cumsum(lengths)
+                text = np.searchsorted(ends, first, "right")
+                own = first - (ends - lengths)[text] + np.array([k[1] for k in keys], "i8")[text]
+                tid = np.array([k[0] for k in keys], "i8")[text]
+                place = (own << 20) | ((anchor - first) << 10) | count
+                suffix = np.lib.stride_tricks.sliding_window_view(data, 8)[anchor].copy().view(">u8")[:, 0] ^ np.uint64(1 << 63)
+                columns = [(m % np.uint64(parts)).astype("i8"), suffix.astype("u8").view("i8"), m.view("i8"), c.view("i8") ^ count, tid, place]
+                out = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], COLUMNS)
+                for lo in range(0, len(out), 10_000):
+                    yield out.slice(lo, 10_000)
+
+    return run
+
+
+def _scan(levels: list[str], merged: list[str], into: str | None):
+    """Streams a batch's entries sorted by part, p, m, c; merges each part with those of ``levels`` and scans it.
+
+    Yields entries that are covered (kind 0) and entries to compare (kind 1). The batch and the levels in
+    ``merged`` are written as one level, ``into``.
+    """
+    schema = pa.schema([(c, pa.int64()) for c in COLUMNS[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = wanted.value if wanted is not None else None
-        for keys, parts in _slices(batches):
-            data = b"".join(parts)
-            lengths = np.array([len(p) for p in parts], "i8")
-            m, c, first, count = runs(np.frombuffer(data, "u1"), lengths)
-            m, c = m.view("i8"), c.view("i8") ^ count
-            ends = np.cumsum(lengths)
-            text = np.searchsorted(ends, first, "right")
-            own = first - (ends - lengths)[text] + np.array([k[2] for k in keys], "i8")[text]
-            doc_id, h = (pa.array([k[j] for k in keys], pa.int64()) for j in (0, 1))
-            order = np.argsort(m, kind="stable")
-            if only is not None:
-                z = _places(m, c, doc_id.fill_null(0).to_numpy()[text], h.to_numpy()[text], own)[order]
-                order = order[(only[z & np.uint64(WORDS - 1)] >> ((z >> np.uint64(32)) & np.uint64(63))) & np.uint64(1) == 1]
-            m, c, first, count, text, own = m[order], c[order], first[order], count[order], pa.array(text[order]), own[order]
-            columns = [pa.array(m), pa.array(c), doc_id.take(text), h.take(text), pa.array(own), pa.array(count.astype("i4"))]
-            names = ["m", "c", "doc_id", "h", "a", "n"]
-            if wanted is not None:
-                columns.append(pa.array([data[a : a + k + LENGTH - 1] for a, k in zip(first.tolist(), count.tolist(), strict=True)], pa.binary()))
-                names.append("bytes")
-            out = pa.RecordBatch.from_arrays(columns, names)
+        for _, cols in whole_groups(batches, 1 << 62):
+            bounds = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1], [True]]))
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                yield from scan(int(cols[0][lo]), [x[lo:hi][cols[4][lo:hi] >= 0] for x in cols[1:]])
+
+    def scan(part: int, batch: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        arrays, sources = [batch], [np.full(len(batch[0]), -1)]
+        for k, level in enumerate(levels):
+            for block in _blocks(f"{level}/{part}"):
+                arrays.append([block.column(i).to_numpy() for i in range(5)])
+                sources.append(np.full(len(block), k))
+        p, m, c, tid, place = (np.concatenate(x) for x in zip(*arrays, strict=True))
+        source = np.concatenate(sources)
+        if levels:
+            order = np.lexsort((c, m, p))
+            p, m, c, tid, place, source = (x[order] for x in (p, m, c, tid, place, source))
+        if into:
+            kept = np.isin(source, [-1, *[k for k, level in enumerate(levels) if level in merged]])
+            out = _Output(f"{into}/{part}", schema)
+            held = pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (p, m, c, tid, place)], schema=schema)
+            for lo in range(0, len(held), 50_000):
+                out.writer.write_batch(held.slice(lo, 50_000))
+            out.close()
+        if not len(batch[0]):
+            return
+        new_anchor = np.concatenate([[True], (m[1:] != m[:-1]) | (p[1:] != p[:-1])])
+        new_run = new_anchor | np.concatenate([[True], c[1:] != c[:-1]])
+        run_of, runs_at = np.cumsum(new_run) - 1, np.flatnonzero(new_run)
+        anchor_of = (np.cumsum(new_anchor) - 1)[runs_at]  # of each run
+        size = np.diff(np.append(runs_at, len(m)))
+        fresh = np.add.reduceat((source < 0).astype("i8"), runs_at)
+        # of a run that occurs again, what is new, and what stood alone before
+        again = (size > 1)[run_of] & ((source < 0) | ((size - fresh)[run_of] == 1)) & (fresh > 0)[run_of]
+        n_runs = np.bincount(anchor_of)
+        compared = (n_runs > 1) & (np.bincount(anchor_of, (size == 1)) > 0) & (np.bincount(anchor_of, (fresh > 0) & (fresh == size)) > 0)
+        asked = runs_at[compared[anchor_of]]
+        for kind, at in ((0, np.flatnonzero(again)), (1, asked)):
+            out = pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, "i1")), *[pa.array(x[at]) for x in (m, tid, place)]], ["kind", "m", "tid", "place"])
             for lo in range(0, len(out), 10_000):
                 yield out.slice(lo, 10_000)
 
     return run
 
 
+def _fetch(folder: str):
+    """Streams (file, tid, m, place, hot) sorted by file; yields the runs' bytes, of a hot anchor in pieces by the windows' places before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, cols in whole_groups(batches, 1 << 62):
+            bounds = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1], [True]]))
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                yield from pieces(int(cols[0][lo]), *(x[lo:hi] for x in cols[1:]))
+
+    def pieces(number: int, tid: np.ndarray, m: np.ndarray, place: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(tid, kind="stable")
+        wanted = list(zip(*(x[order].tolist() for x in (tid, m, place, hot)), strict=True))
+        i, rows = 0, []
+        for t, _, b in _texts(folder, number):
+            while i < len(wanted) and wanted[i][0] == t:
+                _, anchor, x, is_hot = wanted[i]
+                i += 1
+                a, before, n = x >> 20, (x >> 10) & 1023, x & 1023
+                if not is_hot:
+                    rows.append((anchor, t, a, b[a : a + n + LENGTH - 1]))
+                    continue
+                for k in range((before - n + 1) // OFFSETS, before // OFFSETS + 1):
+                    first, last = a + max(0, before - (k + 1) * OFFSETS + 1), a + min(n - 1, before - k * OFFSETS)
+                    rows.append((_dealt(anchor, k), t, first, b[first : last + LENGTH]))
+            if len(rows) >= 2_000:
+                yield batch_of(rows)
+                rows = []
+        yield batch_of(rows)
+
+    def batch_of(rows: list) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) if rows else [()] * 4
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.binary())], ["m", "tid", "a", "bytes"])
+
+    return run
+
+
+def _dealt(anchor: int, block: int) -> int:
+    """The key of a block of windows of an anchor."""
+    key = (anchor * 31 + block * 0x9E3779B97F4A7C15 + 1) & (2**64 - 1)
+    return key - 2**64 if key >> 63 else key
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (m, doc_id, h, a, bytes) sorted by m: stretches that occur twice (kind 0), or all windows of a group too large for memory (kind 1)."""
+    """Rows (m, tid, a, bytes) sorted by m: stretches that occur twice (kind 0), or all windows of a group too large for memory (kind 1)."""
     held: list[pa.RecordBatch] = []
     size, hot = 0, None
 
@@ -182,7 +322,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out(kind: int, rows: pa.RecordBatch, row: np.ndarray, z1, z2, start, end) -> pa.RecordBatch:
         take = pa.array(row)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(row), kind, "i1")), pa.array(z1), pa.array(z2), rows.column("doc_id").take(take), rows.column("h").take(take), pa.array(start), pa.array(end)], ["kind", "z1", "z2", "doc_id", "h", "s", "e"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(row), kind, "i1")), pa.array(z1), pa.array(z2), rows.column("tid").take(take), pa.array(start), pa.array(end)], ["kind", "z1", "z2", "tid", "s", "e"])
 
     def spread(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(rows), 2_000):
@@ -240,136 +380,129 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from resolve(joined())
 
 
-def _word(z: Column) -> Column:
-    return z.bitwiseAND(F.lit(WORDS - 1))
-
-
-def _bit(z: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(z, 32).bitwiseAND(F.lit(63)).cast("int"))
-
-
-def bitmap(hashes: DataFrame, z: Column) -> DataFrame:
-    """word and bits of a table of hashes, at most WORDS rows."""
-    return stash(hashes.groupBy(_word(z).alias("word")).agg(F.bit_or(_bit(z)).alias("bits")), "bitmap")
-
-
-def _marked(rows: DataFrame, bits: DataFrame, z: Column) -> DataFrame:
-    """``rows`` with __in: may the bitmap hold the hash?"""
-    found = rows.withColumn("__z", z).withColumn("word", _word(F.col("__z"))).join(F.broadcast(bits), "word", "left")
-    return found.withColumn("__in", F.coalesce(F.col("bits").bitwiseAND(_bit(F.col("__z"))) != 0, F.lit(False))).drop("word", "bits", "__z")
-
-
 class Family:
-    """The levels of entries, and what they show to be covered.
-
-    Texts are known by doc_id and the XXH64 of the text; equal rows share their stretches.
-    """
+    """The texts taken in, the levels of their entries, and what these show to be covered."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.levels: list[tuple[int, DataFrame]] = []
-        self.texts: DataFrame | None = None
-        self.covered: DataFrame | None = None
+        self.folder = new_path(spark, "texts")
+        self.levels: list[tuple[int, str]] = []
+        self.files: DataFrame | None = None
+        self.found: DataFrame | None = None
+        self.n_files = self.parts = 0
+
+    def store(self, texts: DataFrame) -> DataFrame:
+        """Keep texts (doc_id, b); returns their files (file, rows, bytes)."""
+        files = stash(texts.mapInArrow(_keeper(self.folder, self.n_files), "file long, rows long, bytes long"), "files")
+        last, size = files.agg(F.max("file"), F.sum("bytes")).first()
+        self.n_files = self.n_files if last is None else last + 1
+        self.files = files if self.files is None else self.files.unionAll(files)
+        self.parts = self.parts or max(16, -(-(size or 0) // PART_BYTES))
+        return files
 
     def add(self, texts: DataFrame) -> None:
-        """Take in a batch (doc_id, h, b) and cover its repeats, and those of earlier batches that it brings to light."""
-        batch = stash(texts.filter(F.length("b") >= LENGTH).mapInArrow(_entries(), ENTRY), "suffixes")
-        self.texts = texts if self.texts is None else self.texts.unionAll(texts)
-        entries = batch.select("m")
-        fresh = F.count("*") > 1
-        if self.levels:
-            entries = entries.withColumn("new", F.lit(True))
-            for _, level in self.levels:
-                entries = entries.unionAll(level.select("m", F.lit(False).alias("new")))
-            fresh = fresh & F.max("new")
-        anchors = stash(entries.groupBy("m").agg(fresh.alias("ok")).filter("ok").select("m"), "anchors")
-        every = batch
-        for _, level in self.levels:
-            every = every.unionAll(level)
-        likely = _marked(every, bitmap(anchors, F.xxhash64("m")), F.xxhash64("m")).filter("__in").drop("__in")
-        shared = stash(likely.join(anchors.hint("shuffle_hash"), "m", "left_semi"), "shared-anchors")
-        runs_ = stash(shared.groupBy("m", "c").agg(F.count("*").alias("k"), F.min(F.struct("doc_id", "h", "a", "n")).alias("one")), "runs")
-        # what the bitmap of runs that occur once doesn't hold occurs more often; of the rest a join tells
-        single = runs_.filter("k = 1").select("m", "c")
-        told = _marked(shared, bitmap(single, F.xxhash64("m", "c")), F.xxhash64("m", "c"))
-        repeated = told.filter("not __in").drop("__in").unionByName(told.filter("__in").drop("__in").join(single, ["m", "c"], "left_anti"))
-        found = repeated.select("doc_id", "h", F.col("a").alias("s"), (F.col("a") + F.col("n") + LENGTH - 1).alias("e"))
-        mixed_ = runs_.groupBy("m").agg(F.count("*").alias("k"), F.min("k").alias("least")).filter("k > 1 and least = 1").select("m")
-        mixed_ = stash(mixed_, "mixed-anchors")
-        found = found.unionAll(self._window_by_window(runs_, mixed_))
-        found = stash(found, "covered")
-        self.covered = found if self.covered is None else self.covered.unionAll(found)
-        self._merge(batch)
-
-    def _window_by_window(self, runs_: DataFrame, anchors: DataFrame) -> DataFrame:
-        """Stretches that other runs with the same anchor repeat. Besides one entry of each run, the bitmap lets some others through, which are compared as well."""
-        one = runs_.join(anchors, "m", "left_semi").select("m", "c", F.coalesce("one.doc_id", F.lit(0)).cast("long").alias("doc_id"), "one.h", "one.a")
-
-        def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield pa.RecordBatch.from_arrays([pa.array(_places(*(b.column(i).to_numpy() for i in range(5))).view("i8"))], ["z"])
-
-        bits = bitmap(one.mapInArrow(number, "z long"), F.col("z")).toArrow()
-        listed = np.zeros(WORDS, "u8")
-        listed[bits.column("word").to_numpy()] = bits.column("bits").to_numpy().view("u8")
-        wanted = self.spark.sparkContext.broadcast(listed)
-        chosen = self.texts.filter(F.length("b") >= LENGTH).mapInArrow(_entries(wanted), ENTRY + ", bytes binary").select("m", "doc_id", "h", "a", "bytes")
-        rows = chosen.repartition("m").sortWithinPartitions("m")
-        done = stash(rows.mapInArrow(_compare, "kind byte, z1 long, z2 long, doc_id long, h long, s long, e long"), "windows")
+        """Take in a batch (doc_id, b) of any size."""
+        self.index(self.store(texts))
+
+    def index(self, files: DataFrame, last: bool = False) -> None:
+        """Make the array of a batch of files, and merge and scan it with the levels. After the ``last`` one no level is written."""
+        n = files.count()
+        if not n:
+            return
+        entries = files.select("file").repartition(n).mapInArrow(_entries(self.folder, self.parts), ENTRY)
+        none = [F.lit(0).cast("long").alias(c) for c in ("p", "m", "c")]
+        every = self.spark.range(self.parts).select(F.col("id").alias("part"), *none, F.lit(-1).cast("long").alias("tid"), F.lit(0).cast("long").alias("place"))
+        merged, rank = [], 0
+        while self.levels and self.levels[-1][0] == rank:
+            merged.append(self.levels.pop()[1])
+            rank += 1
+        into = None if last else new_path(self.spark, "level")
+        levels = [level for _, level in self.levels] + merged
+        dealt = entries.unionAll(every).repartition("part").sortWithinPartitions("part", "p", "m", "c")
+        found = stash(dealt.mapInArrow(_scan(levels, merged, into), "kind byte, m long, tid long, place long"), "found")
+        self.found = found if self.found is None else self.found.unionAll(found)
+        for level in merged if into else levels:
+            remove(self.spark, level)
+        self.levels = [*self.levels, (rank, into)] if into else []
+
+    def covered(self) -> DataFrame:
+        """tid, s, e of every stretch that occurs elsewhere."""
+        n = F.col("place").bitwiseAND(F.lit(1023))
+        whole = self.found.filter("kind = 0").select("tid", F.shiftright("place", 20).alias("s"), (F.shiftright("place", 20) + n + LENGTH - 1).alias("e"))
+        asked = stash(self.found.filter("kind = 1").select("m", "tid", "place").distinct(), "asked")
+        hot = asked.groupBy("m").count().filter(F.col("count") > HOT_RUNS).select("m", F.lit(1).cast("long").alias("hot"))
+        marked = asked.join(hot, "m", "left").select(F.shiftright("tid", 32).alias("file"), "tid", "m", "place", F.coalesce("hot", F.lit(0)).cast("long").alias("hot"))
+        pieces = marked.repartition("file").sortWithinPartitions("file").mapInArrow(_fetch(self.folder), "m long, tid long, a long, bytes binary")
+        done = stash(pieces.repartition("m").sortWithinPartitions("m").mapInArrow(_compare, "kind byte, z1 long, z2 long, tid long, s long, e long"), "windows")
         large = done.filter("kind = 1")
         twice = large.groupBy("z1", "z2").agg(F.count("*").alias("k")).filter("k > 1").select("z1", "z2")
-        return done.filter("kind = 0").select("doc_id", "h", "s", "e").unionAll(large.join(twice, ["z1", "z2"]).select("doc_id", "h", "s", "e"))
+        return whole.unionAll(done.filter("kind = 0").select("tid", "s", "e")).unionAll(large.join(twice, ["z1", "z2"]).select("tid", "s", "e"))
 
-    def _merge(self, batch: DataFrame) -> None:
-        rank = 0
-        while self.levels and self.levels[-1][0] == rank:
-            old = self.levels.pop()[1]
-            both = stash(old.unionAll(batch).repartition("m").sortWithinPartitions("m"), "suffixes")
-            discard(old)
-            discard(batch)
-            batch, rank = both, rank + 1
-        self.levels.append((rank, batch))
-
-
-def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, len(whole), 500)):
-        kept_all, removed, spans = [], [], []
-        for b, covered in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-            stretches = sorted((c["s"], c["e"]) for c in covered.as_py() or [])
+
+def _strip(folder: str):
+    """Streams (file, tid, s, e) sorted by file, one row without a text for each file; yields every text's remains."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, cols in whole_groups(batches, 1 << 62):
+            bounds = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1], [True]]))
+            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                yield from stripped(int(cols[0][lo]), *(x[lo:hi] for x in cols[1:]))
+
+    def stripped(number: int, tid: np.ndarray, s: np.ndarray, e: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((e, s, tid))
+        tid, s, e = tid[order], s[order].tolist(), e[order].tolist()
+        i = int(np.searchsorted(tid, 0))
+        tids, rows, size = tid.tolist(), [], 0
+        for t, d, b in _texts(folder, number):
             kept, at, n, gone = [], 0, 0, 0
-            for s, e in stretches:
-                if e <= at:
-                    continue
-                if s > at or not n:
-                    kept.append(b[at:s])
-                    n += 1
-                gone += e - max(s, at)
-                at = e
-            kept_all.append(b"".join([*kept, b[at:]]))
-            removed.append(gone)
-            spans.append(n)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(b) for b in batch.column(1).to_pylist()], pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept_all, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            while i < len(tids) and tids[i] == t:
+                if e[i] > at:
+                    if s[i] > at or not n:
+                        kept.append(b[at : s[i]])
+                        n += 1
+                    gone += e[i] - max(s[i], at)
+                    at = e[i]
+                i += 1
+            rows.append((d, len(b), gone, n, b"".join([*kept, b[at:]])))
+            size += len(b)
+            if size >= BLOCK_BYTES:
+                yield batch_of(rows)
+                rows, size = [], 0
+        if rows:
+            yield batch_of(rows)
+
+    def batch_of(rows: list) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True))
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+
+    return run
 
 
 def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    t: Column = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(t).alias("h"), t.cast("binary").alias("b"))
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("b"))
 
 
 def without_repeats(docs: DataFrame, batches: list[DataFrame] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (bytes) of each row.
 
-    A null text counts as empty; a text of fewer than LENGTH bytes has nothing to remove. Repeated
-    rows of LENGTH bytes or more repeat each other and lose every byte. batches: ``docs`` in parts,
-    to take in one after another; by default it is one batch.
+    A null text counts as empty; a text of fewer than LENGTH bytes has nothing to remove, one of any
+    length is taken whole. Repeated rows of LENGTH bytes or more repeat each other and lose every byte.
+    Other columns are not read; an empty input gives no row. batches: ``docs`` in parts, to take in one
+    after another; by default its files are dealt into BATCHES.
     """
     family = Family(docs.sparkSession)
-    for part in batches or [docs]:
-        family.add(keyed(part, key, text))
-    stretches = family.covered.groupBy("doc_id", "h").agg(F.collect_set(F.struct("s", "e")).alias("covered"))
-    all_ = keyed(docs, key, text)
-    joined = all_.join(stretches, all_["doc_id"].eqNullSafe(stretches["doc_id"]) & (all_["h"] == stretches["h"]), "left").select(all_["doc_id"], "b", "covered")
-    return joined.mapInArrow(_strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    if batches:
+        for part in batches:
+            family.add(keyed(part, key, text))
+    else:
+        files = family.store(keyed(docs, key, text))
+        for k in range(BATCHES):
+            family.index(files.filter(F.pmod("file", F.lit(BATCHES)) == k), last=k == BATCHES - 1)
+    none = F.lit(0).cast("long")
+    every = family.files.select("file", F.lit(-1).cast("long").alias("tid"), none.alias("s"), none.alias("e"))
+    if family.found is not None:
+        every = every.unionAll(family.covered().select(F.shiftright("tid", 32).alias("file"), "tid", "s", "e"))
+    return every.repartition("file").sortWithinPartitions("file").mapInArrow(_strip(family.folder), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

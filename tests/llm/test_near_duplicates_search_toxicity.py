@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -330,6 +331,27 @@ def test_removal_in_batches_equals_one(spark, documents):
     check_removal(spark, documents, corpus(2), batches=3)
 
 
+def test_removal_in_eight_batches_equals_one(spark, documents):
+    check_removal(spark, documents, corpus(3), batches=8)
+
+
+def test_hot_anchors_are_dealt_by_place(spark, documents, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT_RUNS", 2)
+    check_removal(spark, documents, corpus(6), batches=2)
+
+
+def test_op10_of_every_document(spark):
+    """The registered query against all 200-byte strings of the table."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r for r in queries.QUERIES["op10_suffix_family"](spark, SF).collect()}
+    raw = [(r["text"] or "").encode() for r in rows]
+    assert len(got) == len(rows)
+    for r, b, covered in zip(rows, raw, repeats(raw), strict=True):
+        spans = int((np.diff(np.concatenate([[0], covered.astype(int)])) == 1).sum())
+        kept = np.frombuffer(b, "u1")[~covered].tobytes()
+        assert tuple(got[r["doc_id"]])[1:] == (len(b), int(covered.sum()), spans, hashlib.sha256(kept).hexdigest())
+
+
 def test_levels_grow_as_logarithms(spark, documents):
     family = suffixes.Family(spark)
     for k in range(4):
@@ -349,8 +371,8 @@ def test_groups_too_large_for_memory_are_spread(monkeypatch):
     texts = [("".join(rng.choice("xyz") for _ in range(60)) + shared + "".join(rng.choice("uvw") for _ in range(40)) + ("tail" * 30 if i % 2 else "")).encode() for i in range(40)]
     monkeypatch.setattr(suffixes, "GROUP_ROWS", 8)
     n = len(texts)
-    cols = [pa.array([5] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array([1] * n, pa.int64()), pa.array([0] * n, pa.int64()), pa.array(texts, pa.binary())]
-    batch = pa.RecordBatch.from_arrays(cols, ["m", "doc_id", "h", "a", "bytes"])
+    cols = [pa.array([5] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array([0] * n, pa.int64()), pa.array(texts, pa.binary())]
+    batch = pa.RecordBatch.from_arrays(cols, ["m", "tid", "a", "bytes"])
     direct = [b for b in suffixes._compare(iter([batch])) if len(b)]
     many = pa.Table.from_batches([batch] * 110).combine_chunks().to_batches()[0]
     spread = [b for b in suffixes._compare(iter([many, many])) if len(b)]
