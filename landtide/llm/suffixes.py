@@ -8,6 +8,9 @@ level is the array of its entries in the order of their suffixes' first eight by
 them stand by the hash of their first K bytes, and then by that of their run, so whatever shares K bytes
 lies together. It is dealt into parts by the hash of the K bytes, each in a file of its own.
 
+What occurs again in one file of texts stays one entry of it, marked as covered, and a level keeps one entry
+of each run, so text that a third of all documents share doesn't gather in one part.
+
 A new batch gets such an array, which is merged with those of the levels before it, part by part, and
 scanned once: runs with equal bytes are covered whole, those that share K bytes only are compared window
 by window. Levels of equal rank merge into one of the next rank in the same scan, so there are at most
@@ -33,10 +36,14 @@ from .shared import new_path, remove, stash, table, whole_groups
 LENGTH, K, SLICE = 200, 64, 250_000
 #: Entries of one anchor that are compared in memory; more go by shuffles.
 GROUP_ROWS = 50_000
+#: Entries of one file that are held at a time to find runs that occur again there.
+ENTRIES = 500_000
 #: Runs of one anchor that are compared in one task; of more, windows are dealt by their place before the anchor.
 HOT_RUNS, OFFSETS = 1_000, 20
+#: In the place of an entry: the run is covered (it occurs again in its file or has done so before), or that is all there is to tell.
+AGAIN, ONLY = 1 << 61, 1 << 62
 #: Bytes of text for each part of the levels, bytes in a batch of a text file, and op10's batches.
-PART_BYTES, BLOCK_BYTES, BATCHES = 8 << 20, 4 << 20, 4
+PART_BYTES, LEAST_PARTS, BLOCK_BYTES, BATCHES = 4 << 20, 64, 4 << 20, 4
 _BITS = np.uint64((1 << 21) - 1)
 ENTRY = "part long, p long, m long, c long, tid long, place long"
 COLUMNS = ["part", "p", "m", "c", "tid", "place"]
@@ -182,24 +189,45 @@ def _texts(folder: str, number: int) -> Iterator[tuple[int, object, bytes]]:
 
 
 def _entries(folder: str, parts: int):
-    """The entries of the texts of files."""
+    """The entries of the texts of files; a run that occurs again in its file is one entry, the other places are only covered."""
+
+    def slices(number: int) -> Iterator[list[np.ndarray]]:
+        for keys, texts in _slices((tid, b) for tid, _, b in _texts(folder, number)):
+            data = np.frombuffer(b"".join(texts), "u1")
+            lengths = np.array([len(t) for t in texts], "i8")
+            m, c, first, count, anchor = runs(data, lengths)
+            ends = np.cumsum(lengths)
+            text = np.searchsorted(ends, first, "right")
+            own = first - (ends - lengths)[text] + np.array([k[1] for k in keys], "i8")[text]
+            tid = np.array([k[0] for k in keys], "i8")[text]
+            suffix = np.lib.stride_tricks.sliding_window_view(data, 8)[anchor].copy().view(">u8")[:, 0] ^ np.uint64(1 << 63)
+            yield [suffix.astype("u8").view("i8"), m.view("i8"), c.view("i8") ^ count, tid, (own << 20) | ((anchor - first) << 10) | count]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number in (n for batch in batches for n in batch.column(0).to_pylist()):
-            for keys, texts in _slices((tid, b) for tid, _, b in _texts(folder, number)):
-                data = np.frombuffer(b"".join(texts), "u1")
-                lengths = np.array([len(t) for t in texts], "i8")
-                m, c, first, count, anchor = runs(data, lengths)
-                ends = np.cumsum(lengths)
-                text = np.searchsorted(ends, first, "right")
-                own = first - (ends - lengths)[text] + np.array([k[1] for k in keys], "i8")[text]
-                tid = np.array([k[0] for k in keys], "i8")[text]
-                place = (own << 20) | ((anchor - first) << 10) | count
-                suffix = np.lib.stride_tricks.sliding_window_view(data, 8)[anchor].copy().view(">u8")[:, 0] ^ np.uint64(1 << 63)
-                columns = [(m % np.uint64(parts)).astype("i8"), suffix.astype("u8").view("i8"), m.view("i8"), c.view("i8") ^ count, tid, place]
-                out = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], COLUMNS)
-                for lo in range(0, len(out), 10_000):
-                    yield out.slice(lo, 10_000)
+            held, size = [], 0
+            for cols in slices(number):
+                held.append(cols)
+                size += len(cols[0])
+                if size >= ENTRIES:
+                    yield from entries(held)
+                    held, size = [], 0
+            if held:
+                yield from entries(held)
+
+    def entries(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        p, m, c, tid, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((c, m))
+        same = (m[order][1:] == m[order][:-1]) & (c[order][1:] == c[order][:-1])
+        place[order[:-1][same]] |= AGAIN
+        place[order[1:][same]] |= AGAIN
+        place[order[1:][same]] |= ONLY
+        only = (place & ONLY) != 0
+        part = m.view("u8") % np.uint64(parts)
+        part[only] = tid[only].view("u8") % np.uint64(parts)
+        out = pa.RecordBatch.from_arrays([pa.array(x) for x in (part.astype("i8"), p, m, c, tid, place)], COLUMNS)
+        for lo in range(0, len(out), 10_000):
+            yield out.slice(lo, 10_000)
 
     return run
 
@@ -219,6 +247,9 @@ def _scan(levels: list[str], merged: list[str], into: str | None):
                 yield from scan(int(cols[0][lo]), [x[lo:hi][cols[4][lo:hi] >= 0] for x in cols[1:]])
 
     def scan(part: int, batch: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        told = (batch[4] & ONLY) != 0
+        yield from out(0, batch[1][told], batch[2][told], batch[3][told], batch[4][told])
+        batch = [x[~told] for x in batch]
         arrays, sources = [batch], [np.full(len(batch[0]), -1)]
         for k, level in enumerate(levels):
             for block in _blocks(f"{level}/{part}"):
@@ -229,30 +260,35 @@ def _scan(levels: list[str], merged: list[str], into: str | None):
         if levels:
             order = np.lexsort((c, m, p))
             p, m, c, tid, place, source = (x[order] for x in (p, m, c, tid, place, source))
+        new_anchor = np.concatenate([[True], (m[1:] != m[:-1]) | (p[1:] != p[:-1])])[: len(m)]
+        new_run = new_anchor | np.concatenate([[True], c[1:] != c[:-1]])[: len(m)]
+        run_of, runs_at = np.cumsum(new_run) - 1, np.flatnonzero(new_run)
+        size, fresh, known = (np.bincount(run_of, x, len(runs_at)) for x in (None, source < 0, (place & AGAIN) != 0))
+        again = (size > 1) | (known > 0)
         if into:
             kept = np.isin(source, [-1, *[k for k, level in enumerate(levels) if level in merged]])
-            out = _Output(f"{into}/{part}", schema)
-            held = pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (p, m, c, tid, place)], schema=schema)
-            for lo in range(0, len(held), 50_000):
-                out.writer.write_batch(held.slice(lo, 50_000))
-            out.close()
+            at = np.flatnonzero(kept)
+            at = at[np.unique(run_of[at], return_index=True)[1]]
+            held = [p[at], m[at], c[at], tid[at], place[at] | np.where(again[run_of[at]], AGAIN, 0)]
+            file = _Output(f"{into}/{part}", schema)
+            rows = pa.RecordBatch.from_arrays([pa.array(x) for x in held], schema=schema)
+            for lo in range(0, len(rows), 50_000):
+                file.writer.write_batch(rows.slice(lo, 50_000))
+            file.close()
         if not len(batch[0]):
             return
-        new_anchor = np.concatenate([[True], (m[1:] != m[:-1]) | (p[1:] != p[:-1])])
-        new_run = new_anchor | np.concatenate([[True], c[1:] != c[:-1]])
-        run_of, runs_at = np.cumsum(new_run) - 1, np.flatnonzero(new_run)
-        anchor_of = (np.cumsum(new_anchor) - 1)[runs_at]  # of each run
-        size = np.diff(np.append(runs_at, len(m)))
-        fresh = np.add.reduceat((source < 0).astype("i8"), runs_at)
         # of a run that occurs again, what is new, and what stood alone before
-        again = (size > 1)[run_of] & ((source < 0) | ((size - fresh)[run_of] == 1)) & (fresh > 0)[run_of]
-        n_runs = np.bincount(anchor_of)
-        compared = (n_runs > 1) & (np.bincount(anchor_of, (size == 1)) > 0) & (np.bincount(anchor_of, (fresh > 0) & (fresh == size)) > 0)
+        covered = np.flatnonzero(again[run_of] & ((source < 0) | ((place & AGAIN) == 0)) & (fresh > 0)[run_of])
+        anchor_of = (np.cumsum(new_anchor) - 1)[runs_at]  # of each run
+        compared = (np.bincount(anchor_of) > 1) & (np.bincount(anchor_of, ~again) > 0) & (np.bincount(anchor_of, fresh == size) > 0)
         asked = runs_at[compared[anchor_of]]
-        for kind, at in ((0, np.flatnonzero(again)), (1, asked)):
-            out = pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, "i1")), *[pa.array(x[at]) for x in (m, tid, place)]], ["kind", "m", "tid", "place"])
-            for lo in range(0, len(out), 10_000):
-                yield out.slice(lo, 10_000)
+        for kind, at in ((0, covered), (1, asked)):
+            yield from out(kind, m[at], c[at], tid[at], place[at])
+
+    def out(kind: int, m: np.ndarray, c: np.ndarray, tid: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = pa.RecordBatch.from_arrays([pa.array(np.full(len(m), kind, "i1")), *[pa.array(x) for x in (m, tid, place & (AGAIN - 1))]], ["kind", "m", "tid", "place"])
+        for lo in range(0, len(rows), 10_000):
+            yield rows.slice(lo, 10_000)
 
     return run
 
@@ -397,7 +433,7 @@ class Family:
         last, size = files.agg(F.max("file"), F.sum("bytes")).first()
         self.n_files = self.n_files if last is None else last + 1
         self.files = files if self.files is None else self.files.unionAll(files)
-        self.parts = self.parts or max(16, -(-(size or 0) // PART_BYTES))
+        self.parts = self.parts or max(LEAST_PARTS, -(-(size or 0) // PART_BYTES))
         return files
 
     def add(self, texts: DataFrame) -> None:
