@@ -16,7 +16,8 @@ they fit.
 near_copies() finds texts alike in SIMILARITY of their five-word shingles or more. Near copies keep most
 of their words, while an edit changes five shingles, so it takes SEEDS fingerprints of the set of words:
 two texts whose fingerprints lie within the radius for any seed meet in a table, and what has met is
-compared exactly, in whole shingle sets.
+compared exactly, in whole shingle sets: first with a head of each bucket, and what that leaves apart
+inside the buckets, where the sets go, so a family of varied copies is never spelled out in pairs.
 """
 
 from __future__ import annotations
@@ -29,15 +30,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import discard, stash, table, whole_groups
+from .shared import stash, table, whole_groups
 
 BUCKET_ROWS, DIRECT_ROWS, ROUNDS = 200_000, 2_000, 12
 BITS = 64
 #: Of near_copies(): words of a shingle, similarity, fingerprints of a text and what one of them may differ by
-#: at most in a candidate pair, and how many partners of other groups a row tries before all of them.
-SHINGLE, SIMILARITY, SEEDS, FARTHEST, FIRST_TRIES = 5, (4, 5), 3, 14, 4
-#: Bounds of memory: known words, candidates in one batch, rows of a broadcast key table.
-MEMO_WORDS, SLICE, BROADCAST_ROWS = 500_000, 200_000, 1_000_000
+#: at most in a candidate pair.
+SHINGLE, SIMILARITY, SEEDS, FARTHEST = 5, (4, 5), 3, 14
+#: Bounds of memory: known words, rows of a broadcast key table.
+MEMO_WORDS, BROADCAST_ROWS = 500_000, 1_000_000
 
 
 def masks(radius: int) -> list[int]:
@@ -270,7 +271,7 @@ MET = "kind byte, bucket long, a long, b long, fp long, n long"
 
 
 def _meet(radius: int, depth: int):
-    """Streams (bucket, sid, fp, n) sorted by bucket.
+    """Streams (bucket, sid, fp, nt) sorted by bucket; nt is the size of the set and the number of the table.
 
     Yields pairs with a head of their bucket that may be alike (kind 0), the rows of buckets that hold more
     pairs (kind 1), and rows of buckets that are dealt out again (kind 2).
@@ -292,13 +293,13 @@ def _meet(radius: int, depth: int):
             sizes = np.diff(np.append(starts, len(bucket)))
             i = starts[sizes == 2]
             j = i + 1
-            fits = _possible(fp, n, i, j)
+            fits = _possible(fp, n >> 6, i, j)
             a, b = [sid[i[fits]]], [sid[j[fits]]]
             for s, m in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
                 left = np.arange(s, s + m)
                 while len(left) > 1:
                     head, left = left[0], left[1:]
-                    near = _possible(fp, n, head, left)
+                    near = _possible(fp, n >> 6, head, left)
                     a.append(np.full(int(near.sum()), sid[head]))
                     b.append(sid[left[near]])
                     left = left[~near]
@@ -316,39 +317,90 @@ def _possible(fp: np.ndarray, n: np.ndarray, i, j) -> np.ndarray:
     return (np.bitwise_count(fp[i].view("u8") ^ fp[j].view("u8")) <= FARTHEST) & (np.minimum(n[i], n[j]) * den >= np.maximum(n[i], n[j]) * num)
 
 
-def _cross(tries: int | None):
-    """Streams (bucket, sid, fp, n, root) sorted by bucket; yields pairs of different roots that may be alike: for each row the ``tries`` nearest, or all."""
+def _rest(radius: int):
+    """Of the rows (bucket, sid, fp, nt, root, ...) of one bucket: (i, partners of other roots that may be alike, nearest first), for rows outside the commonest root.
+
+    A pair that meets in several tables of a fingerprint is left to the first of them.
+    """
+    tables = [np.uint64(m) for m in masks(radius)]
+
+    def partners(fp: np.ndarray, nt: np.ndarray, root: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        values, counts = np.unique(root, return_counts=True)
+        if len(values) < 2:
+            return
+        main, n = values[counts.argmax()], nt >> 6
+        earlier = tables[: int(nt[0]) & 63]
+        for i in np.flatnonzero(root != main).tolist():
+            j = np.flatnonzero((root != root[i]) & ((root == main) | (np.arange(len(root)) > i)))
+            j = j[_possible(fp, n, i, j)]
+            apart = fp[j].view("u8") ^ fp[i : i + 1].view("u8")
+            first = np.ones(len(j), bool)
+            for m in earlier:
+                first &= (apart & m) != 0
+            if first.any():
+                yield i, j[first][np.argsort(np.bitwise_count(apart[first]), kind="stable")]
+
+    return partners
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    for _, cols in whole_groups(batches, 1 << 62):
+        starts = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]])).tolist()
+        for s, e in zip(starts, [*starts[1:], len(cols[0])], strict=True):
+            yield [c[s:e] for c in cols]
+
+
+def _open(radius: int):
+    """Streams (bucket, sid, fp, nt, root) sorted by bucket; yields the rows that may be alike to one of another root."""
+    partners = _rest(radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held = [], 0
+        for cols in _buckets(batches):
+            used = np.zeros(len(cols[0]), bool)
+            for i, j in partners(*cols[2:]):
+                used[i] = used[j] = True
+            if used.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[used]) for c in cols], ["bucket", "sid", "fp", "n", "root"])
+
+    return run
 
-        def ready() -> pa.RecordBatch:
-            pairs = np.concatenate(found, 1) if found else np.zeros((2, 0), "i8")
-            one = np.unique(np.sort(pairs, 0), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(one[0]), pa.array(one[1])], ["a", "b"])
 
-        for _, (bucket, sid, fp, n, root) in whole_groups(batches, 1 << 62):
-            starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True):
-                if (root[s:e] == root[s]).all():
-                    continue
-                for i in range(s, e):
-                    other = np.flatnonzero(root[s:e] != root[i]) + s
-                    other = other[_possible(fp, n, i, other)]
-                    if tries and len(other) > tries:
-                        far = np.bitwise_count(fp[other].view("u8") ^ fp[i : i + 1].view("u8"))
-                        other = other[np.argpartition(far, tries - 1)[:tries]]
-                    if len(other):
-                        found.append(np.stack([np.full(len(other), sid[i]), sid[other]]))
-                        held += len(other)
-                    if held >= SLICE:
-                        yield ready()
-                        found, held = [], 0
-        yield ready()
+def _join(radius: int):
+    """Streams (bucket, sid, fp, nt, root, x) sorted by bucket, x being whole sets; yields links that connect what is alike across roots."""
+    partners = _rest(radius)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sid, fp, nt, root, x in _buckets(batches):
+            parent, held, links = {r: r for r in root.tolist()}, {}, []
+
+            def find(r: int, parent: dict = parent) -> int:
+                while parent[r] != r:
+                    parent[r] = r = parent[parent[r]]
+                return r
+
+            def of(i: int, held: dict = held, x: np.ndarray = x) -> np.ndarray:
+                if i not in held:
+                    held[i] = np.frombuffer(x[i], "u8")
+                return held[i]
+
+            for i, near in partners(fp, nt, root):
+                for j in near.tolist():
+                    r, q = find(int(root[i])), find(int(root[j]))
+                    if r != q and _same(of(i), of(j)):
+                        links.append((int(sid[i]), int(sid[j])))
+                        parent[r] = q
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], ["a", "b"])
 
     return run
 
 
+def _same(x: np.ndarray, y: np.ndarray) -> bool:
+    """Are two sets alike?"""
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    return bool(_alike(int((both[1:] == both[:-1]).sum()), len(x), len(y)))
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo: dict[bytes, int] = {}
     for batch in batches:
@@ -361,8 +413,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = []
         for i in range(len(batch)):
             x, y = (np.frombuffer(batch.column(k)[i].as_buffer(), "u8") for k in (2, 3))
-            both = np.sort(np.concatenate([x, y]), kind="stable")
-            keep.append(bool(_alike(int((both[1:] == both[:-1]).sum()), len(x), len(y))))
+            keep.append(_same(x, y))
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -382,8 +433,8 @@ def near_copies(docs: DataFrame, radius: int = 4, key: str = "doc_id", text: str
     nodes = made.groupBy("sid").agg(first.alias("one"), F.min("th").alias("any"), F.count("*").alias("n_rows"), F.first("n").alias("n"), *[F.first(f"f{k}").alias(f"f{k}") for k in range(SEEDS)])
     nodes = stash(nodes, "nodes")
     signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks(radius)]
-    keys = F.array(*[F.struct(F.xxhash64(F.lit(k), F.lit(i), F.col(f"f{k}").bitwiseAND(F.lit(m).cast("long"))).alias("bucket"), F.col(f"f{k}").alias("fp")) for k in range(SEEDS) for i, m in enumerate(signed)])
-    rows = nodes.select(F.explode(keys).alias("k"), "sid", "n").select("k.bucket", "sid", "k.fp", "n")
+    keys = F.array(*[F.struct(F.xxhash64(F.lit(k), F.lit(i), F.col(f"f{k}").bitwiseAND(F.lit(m).cast("long"))).alias("bucket"), F.col(f"f{k}").alias("fp"), (F.col("n") * 64 + i).alias("n")) for k in range(SEEDS) for i, m in enumerate(signed)])
+    rows = nodes.select(F.explode(keys).alias("k"), "sid").select("k.bucket", "sid", "k.fp", "k.n")
     pairs = members = None
     for depth in range(ROUNDS):
         met = stash(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet(radius, depth), MET), "met")
@@ -392,35 +443,28 @@ def near_copies(docs: DataFrame, radius: int = 4, key: str = "doc_id", text: str
         rows = met.filter("kind = 2").select("bucket", F.col("a").alias("sid"), "fp", "n")
         if rows.isEmpty():
             break
-    tried = stash(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    links = _checked(docs, nodes, tried, key, text)
+    heads = stash(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    whole = _whole(docs, nodes, heads.select(F.col("a").alias("sid")).union(heads.select("b")), key, text)
+    both = heads.join(whole.select(F.col("sid").alias("a"), "x"), "a").join(whole.select(F.col("sid").alias("b"), F.col("x").alias("y")), "b").select("a", "b", "x", "y")
+    links = stash(both.mapInArrow(_verify, "a long, b long"), "alike")
     roots = components(links)
-    for tries in (FIRST_TRIES, None):
-        known = members.join(roots, F.col("sid") == F.col("u"), "left").select("bucket", "sid", "fp", "n", F.coalesce("v", "sid").alias("root"))
-        crossing = known.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_cross(tries), "a long, b long").distinct()
-        crossing = stash(crossing.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if crossing.isEmpty():
-            break
-        tried = tried.unionAll(crossing)
-        links = links.unionAll(_checked(docs, nodes, crossing, key, text))
-        roots = components(links)
+    known = members.join(roots, F.col("sid") == F.col("u"), "left").select("bucket", "sid", "fp", "n", F.coalesce("v", "sid").alias("root"))
+    apart = stash(known.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_open(radius), "bucket long, sid long, fp long, n long, root long"), "apart")
+    if not apart.isEmpty():
+        whole = _whole(docs, nodes, apart.select("sid"), key, text)
+        rest = apart.join(whole, "sid").select("bucket", "sid", "fp", "n", "root", "x").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_join(radius), "a long, b long")
+        roots = components(links.unionAll(rest))
     return nodes.join(roots, F.col("sid") == F.col("u"), "left").select("sid", "one.doc_id", "one.th", "n_rows", F.coalesce("v", "sid").alias("root"))
 
 
-def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
-    """Those of the distinct ``pairs`` a, b whose shingle sets reach SIMILARITY. Sets are made again, for one text of each."""
-    involved = stash(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct().join(nodes.select("sid", F.col("any").alias("th")), "sid"), "involved")
+def _whole(docs: DataFrame, nodes: DataFrame, sids: DataFrame, key: str, text: str) -> DataFrame:
+    """sid and x, the whole shingle set, of ``sids``. Sets are made again, from one text of each."""
+    involved = stash(sids.distinct().join(nodes.select("sid", F.col("any").alias("th")), "sid"), "involved")
     texts = _hashed(docs, key, text).select("th", "t")
-    small = involved.count() <= BROADCAST_ROWS
-    if small:
+    if involved.count() <= BROADCAST_ROWS:
         texts = texts.join(F.broadcast(involved.select("th")), "th", "left_semi")
     once = texts.groupBy("th").agg(F.first("t").alias("t")).join(involved, "th").select("sid", "t")
-    whole = stash(once.mapInArrow(_sets, "sid long, x binary"), "whole-sets")
-    both = pairs.join(whole.select(F.col("sid").alias("a"), "x"), "a").join(whole.select(F.col("sid").alias("b"), F.col("x").alias("y")), "b").select("a", "b", "x", "y")
-    out = stash(both.mapInArrow(_verify, "a long, b long"), "alike")
-    discard(whole)
-    discard(involved)
-    return out
+    return stash(once.mapInArrow(_sets, "sid long, x binary"), "whole-sets")
 
 
 def keep_one(docs: DataFrame, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -199,12 +199,39 @@ def test_near_copies_equal_brute_force(documents):
     assert lost <= 0.1 * merged  # what lies beyond the radius for every fingerprint
 
 
+def test_what_a_head_leaves_apart_is_linked_in_its_bucket():
+    """Rows of one bucket in different roots: links connect just what pairs that are alike connect."""
+    rng = random.Random(12)
+    texts = varied(4, 120)[6:]
+    words = [simhash._hashes(t.encode(), {}) for t in texts]
+    held = [simhash.shingles(w) for w in words]
+    fps = [simhash.word_prints(w)[0] for w in words]
+    label = groups(texts)
+    root = [i if rng.random() < 0.6 else label[i] for i in range(len(texts))]
+    cols = [np.full(len(texts), 5), np.arange(len(texts)), np.array(fps, "i8"), np.array([64 * len(x) for x in held]), np.array(root)]
+    batch = pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array([x.tobytes() for x in held], pa.binary())], ["bucket", "sid", "fp", "n", "root", "x"])
+    used = {x for out in simhash._open(4)(iter([batch.select(range(5))])) for x in out.column(1).to_pylist()}
+    links = [p for out in simhash._join(4)(iter([batch])) for p in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True)]
+    near = lambda i, j: ((fps[i] ^ fps[j]) & (2**64 - 1)).bit_count() <= simhash.FARTHEST
+    alike = [(i, j) for i in range(len(texts)) for j in range(i) if near(i, j) and simhash._same(held[i], held[j])]
+    assert links and set(sum(links, ())) <= used and all((max(p), min(p)) in alike for p in links)
+
+    def closed(pairs):
+        parent = list(root)
+        for i, j in pairs:
+            a, b = parent[i], parent[j]
+            parent = [min(a, b) if x in (a, b) else x for x in parent]
+        return parent
+
+    assert closed(links) == closed([p for p in alike if root[p[0]] != root[p[1]]])
+
+
 def test_buckets_dealt_out_again_lose_no_near_copy(documents, monkeypatch):
     texts = varied(3)
     wanted = sorted(r["doc_id"] for r in simhash.keep_one(documents(texts)).collect())
     sketched = [simhash.word_prints(simhash._hashes((t or "").encode(), {})) for t in texts]
     monkeypatch.setattr(simhash, "BUCKET_ROWS", 6)
-    rows = sorted({(5, i, f[0], len(x)) for i, (f, x) in enumerate(zip(sketched, shingle_sets(texts), strict=True))})
+    rows = sorted({(5, i, f[0], 64 * len(x)) for i, (f, x) in enumerate(zip(sketched, shingle_sets(texts), strict=True))})
     linked, depth = set(), 0
     while rows:
         cols = [pa.array(np.array(c, "i8")) for c in zip(*sorted(rows), strict=True)]
