@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from .spans import ends, let
 
-#: The patterns of references.
-REF = r"(?<![0-9A-Z])(\d{5}[A-Z]\d{8}|\d{7}[0-9A-Z]{7})(?:\d{4}[A-Z]{2})?(?![0-9A-Z])"
-RUSTIC = r"(?<![0-9A-Z])(39\d{3})[^\s\d]?(\d{3})(\d{5})(?:\d{4}[A-Z]{2})?(?![0-9A-Z])"
+#: The patterns of references. Classes and cases are Unicode's; a possessive list changes no
+#: match, but is a loop in the matcher, where a greedy one recurses for every item.
+REF = r"(?U)(?<![0-9A-Z])(\d{5}[A-Z]\d{8}|\d{7}[0-9A-Z]{7})(?:\d{4}[A-Z]{2})?(?![0-9A-Z])"
+RUSTIC = r"(?U)(?<![0-9A-Z])(39\d{3})[^\s\d]?(\d{3})(\d{5})(?:\d{4}[A-Z]{2})?(?![0-9A-Z])"
 _N = r"(?:n\.?\s*[ºo°]\.?\s*)?"
-_LIST = r"(\d{1,5}(?:\s*(?:,|y|e)\s*\d{1,5})*)"
-POL_PAR = rf"(?i)pol(?:[íi]gono|\.)\s*{_N}(\d{{1,3}})\W{{0,6}}(?:y\s+)?parc(?:elas?|\.)\s*{_N}{_LIST}"
-PAR_POL = rf"(?i)parc(?:elas?|\.)\s*{_N}{_LIST}\s*,?\s*del?\s+pol(?:[íi]gono|\.)\s*{_N}(\d{{1,3}})"
+_LIST = r"(\d{1,5}(?:\s*(?:,|y|e)\s*\d{1,5})*+)"
+POL_PAR = rf"(?iuU)pol(?:[íi]gono|\.)\s*{_N}(\d{{1,3}})\W{{0,6}}(?:y\s+)?parc(?:elas?|\.)\s*{_N}{_LIST}"
+PAR_POL = rf"(?iuU)parc(?:elas?|\.)\s*{_N}{_LIST}\s*,?\s*del?\s+pol(?:[íi]gono|\.)\s*{_N}(\d{{1,3}})"
 #: Letters with marks and what they become.
 _MARKED, _PLAIN = "áàâäãåéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ", "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC"
 
@@ -20,11 +27,33 @@ def _all(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
+@F.pandas_udf(StringType())
+def _nfkc(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+
+
+@F.pandas_udf(StringType())
+def _nfkd_ascii(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode(), na_action="ignore")
+
+
+def compatible(text: Column) -> Column:
+    """Normal form KC. Only texts with letters beyond those that it leaves as they are go to Python."""
+    return F.coalesce(_nfkc(F.when(text.rlike(f"[^\\x00-\\x7F{_MARKED}¡¿«»–—€]"), text)), text)
+
+
 def references(text: Column) -> Column:
-    """Distinct 14-character references, sorted, without urban-looking tails of a damaged rustic one."""
-    whole = _all(text, RUSTIC)
-    tail = lambda r: (~F.substring(r, 6, 1).rlike("[A-Z]")) & F.exists(whole, lambda w: F.contains(w, r) & ~F.startswith(w, r))
-    return F.array_sort(F.array_distinct(F.filter(_all(text, REF, 1), lambda r: ~tail(r))))
+    """Distinct 14-character references, sorted, without urban-looking tails of a damaged rustic one: those that lie inside it, but begin later."""
+    spots = F.struct(_all(text, RUSTIC).alias("rustic"), ends(text, RUSTIC).alias("rustic_ends"), _all(text, REF).alias("whole"), _all(text, REF, 1).alias("refs"), ends(text, REF).alias("ends"))
+
+    def kept(x: Column) -> Column:
+        rustic = F.zip_with(x["rustic"], x["rustic_ends"], lambda r, e: F.struct((e - F.length(r)).alias("start"), e.alias("end")))
+        found = F.arrays_zip(x["refs"].alias("ref"), x["whole"].alias("whole"), x["ends"].alias("end"))
+        start = lambda m: m["end"] - F.length(m["whole"])
+        tail = lambda m: ~F.substring(m["ref"], 6, 1).rlike("[A-Z]") & F.exists(rustic, lambda r: (r["start"] < start(m)) & (start(m) + F.length(m["ref"]) <= r["end"]))
+        return F.array_sort(F.array_distinct(F.transform(F.filter(found, lambda m: ~tail(m)), lambda m: m["ref"])))
+
+    return let(spots, kept)
 
 
 def rustic(text: Column) -> Column:
@@ -43,13 +72,30 @@ def polygon_parcels(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(pairs(POL_PAR, 1, 2), pairs(PAR_POL, 2, 1))))
 
 
+def cited(text: Column) -> Column:
+    """What a notice cites: refs, rustic and polpar, all of one text in normal form."""
+    return let(compatible(F.coalesce(text, F.lit(""))), lambda t: F.struct(references(t).alias("refs"), rustic(t).alias("rustic"), polygon_parcels(t).alias("polpar")))
+
+
 def ascii_lower(s: Column) -> Column:
-    return F.lower(F.regexp_replace(F.translate(F.coalesce(s, F.lit("")), _MARKED, _PLAIN), r"[^\x00-\x7F]", ""))
+    """Lower case, letters without their marks, the rest of what is not ASCII left out. Texts with other letters than the table's go to Python for normal form KD."""
+    own = F.coalesce(s, F.lit(""))
+    known = F.regexp_replace(F.translate(own, _MARKED, _PLAIN), r"[^\x00-\x7F]", "")
+    return F.lower(F.coalesce(_nfkd_ascii(F.when(own.rlike(f"[^\\x00-\\x7F{_MARKED}]"), own)), known))
 
 
 def place(s: Column) -> Column:
     """A municipality's name for comparison: plain letters, single blanks, no leading article."""
-    letters = F.trim(F.regexp_replace(F.regexp_replace(ascii_lower(s), "[^a-z ]", " "), " +", " "))
+    return _place(ascii_lower(s))
+
+
+def plain_place(s: Column) -> Column:
+    """place() of a name with no letters beyond the table's; for use inside arrays, where Python can't be called."""
+    return _place(F.lower(F.regexp_replace(F.translate(F.coalesce(s, F.lit("")), _MARKED, _PLAIN), r"[^\x00-\x7F]", "")))
+
+
+def _place(plain: Column) -> Column:
+    letters = F.trim(F.regexp_replace(F.regexp_replace(plain, "[^a-z ]", " "), " +", " "))
     return F.trim(F.regexp_replace(letters, "^(el|la|los|las) ", ""))
 
 

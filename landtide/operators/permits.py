@@ -18,13 +18,20 @@ ANNULLED = "4"
 
 
 def notice_hits(parcels: DataFrame, notices: DataFrame) -> DataFrame:
-    """parcels: alert, parcel, ref, mun, muni_name, pol, par; notices: notice, refs, rustic (mun, pol, par), polpar (pol, par), munis. Distinct (alert, notice)."""
-    by_ref = parcels.join(notices.select("notice", F.explode("refs").alias("ref")), "ref").select("alert", "notice")
-    rustic = notices.select("notice", F.inline("rustic"))
-    by_rustic = parcels.join(rustic, ["mun", "pol", "par"]).select("alert", "notice")
-    polpar = notices.select("notice", "munis", F.inline("polpar")).select("notice", "pol", "par", F.explode("munis").alias("muni_name"))
-    by_polpar = parcels.join(polpar, ["pol", "par", "muni_name"]).select("alert", "notice")
-    return by_ref.unionAll(by_rustic).unionAll(by_polpar).distinct()
+    """parcels: alert, parcel, ref, mun, muni_name, pol, par; notices: notice, refs, rustic (mun, pol, par), polpar (pol, par), munis. Distinct (alert, notice).
+
+    The three ways to agree are one key each, tagged by its kind, so notices are read once and joined once.
+    """
+    key = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *[p.cast("string") for p in parts])
+    whole = lambda kind, *parts: F.when(F.least(*[p.isNotNull() for p in parts], F.lit(True)), key(kind, *parts))
+    c = F.col
+    own = F.array(whole("ref", c("ref")), whole("rustic", c("mun"), c("pol"), c("par")), whole("polpar", c("pol"), c("par"), c("muni_name")))
+    cited = F.concat(
+        F.coalesce(F.transform("refs", lambda r: key("ref", r)), F.array()), F.coalesce(F.transform("rustic", lambda r: key("rustic", r["mun"], r["pol"], r["par"])), F.array()),
+        F.coalesce(F.flatten(F.transform("polpar", lambda q: F.transform("munis", lambda m: key("polpar", q["pol"], q["par"], m)))), F.array()),
+    )
+    asked = parcels.select("alert", F.explode(F.array_compact(own)).alias("key")).distinct()
+    return asked.join(notices.select("notice", F.explode(F.array_distinct(cited)).alias("key")), "key").select("alert", "notice").distinct()
 
 
 def notice_status(alerts: DataFrame, hits: DataFrame, notices: DataFrame) -> DataFrame:

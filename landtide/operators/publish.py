@@ -96,10 +96,10 @@ def redirects(alerts: DataFrame) -> DataFrame:
 
 
 def features(alerts: DataFrame, properties: list[str], geometry: str) -> DataFrame:
-    """Each visible alert as a GeoJSON feature; properties as they are, but for the geometry. geometry: a column of GeoJSON text."""
+    """Each alert, merged ones too, as a GeoJSON feature of the download; properties as they are, but for the geometry. geometry: a column of GeoJSON text."""
     body = F.to_json(F.struct(*properties))
     text = F.concat(F.lit('{"type":"Feature","properties":'), body, F.lit(',"geometry":'), F.coalesce(geometry, F.lit("null")), F.lit("}"))
-    return alerts.filter(F.col("state") != "fusionada").select("id", text.alias("feature"))
+    return alerts.select("id", text.alias("feature"))
 
 
 def photo_value(reflectance: Column) -> Column:

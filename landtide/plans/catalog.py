@@ -229,6 +229,50 @@ def merge_survivors(spark, d):
     return lifecycle.merge(alerts, lifecycle.merge_groups(alerts, cells))
 
 
+def fragment_registry(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The fragments with what a registry keeps of them; each fifth is closed."""
+    alerts, cells = fragments(spark, d)
+    i = F.col("id")
+    state = F.when(i % 5 == 0, "descartada").otherwise(F.col("state"))
+    return alerts.withColumn("state", state).withColumn("ndvi_ref", F.round(F.col("ndvi") + 0.25, 3)).withColumn("months", F.array(F.col("first"), F.col("first") + (i % 4).cast("int"))).withColumn("merged", F.when(i % 2 == 0, F.array(i + 100_000)).otherwise(F.array().cast("array<bigint>"))), cells
+
+
+@query(
+    "merge_registry",
+    f"""WITH RECURSIVE {SQL_GRID}, fc AS (SELECT cy // 4 * 8 + cx // 8 AS id, cy, cx FROM cells WHERE (cy % 4 < 3) AND cx % 8 < 7), fa AS (SELECT id, (24000 + id % 7)::INT AS first, 24000 + id % 5 AS detected, count(*) AS pixels, round(avg(cx) / 64, 3) AS ndvi, round(round(avg(cx) / 64, 3) + 0.25, 3) AS ndvi_ref,
+ CASE WHEN id % 3 = 0 THEN 'confirmada' ELSE 'provisional' END AS state, [(24000 + id % 7)::INT, (24000 + id % 7 + id % 4)::INT] AS months, CASE WHEN id % 2 = 0 THEN [id + 100000] ELSE [] END AS old FROM fc WHERE id % 5 > 0 GROUP BY id),
+pr AS (SELECT DISTINCT a.id AS a, b.id AS b FROM fc a JOIN fc b ON b.cy BETWEEN a.cy - 2 AND a.cy + 2 AND b.cx BETWEEN a.cx - 2 AND a.cx + 2 WHERE a.id <> b.id AND abs(a.id % 7 - b.id % 7) < 3 AND a.id % 5 > 0 AND b.id % 5 > 0),
+fr(id, label) AS (SELECT id, id FROM fa UNION SELECT pr.b, r.label FROM fr r JOIN pr ON pr.a = r.id WHERE r.label < pr.b), grp AS (SELECT id, min(label) AS grp FROM fr GROUP BY id),
+r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY first, detected, pixels DESC, id) AS k FROM fa JOIN grp USING (id)), u AS (SELECT grp, count(*) AS n FROM (SELECT DISTINCT grp, cy, cx FROM fc JOIN grp USING (id)) GROUP BY grp),
+m AS (SELECT grp, list_sort(list(DISTINCT mo)) AS months, max(mo) AS last FROM (SELECT grp, unnest(months) AS mo FROM r) GROUP BY grp), o AS (SELECT grp, list(DISTINCT x) AS ids FROM (SELECT grp, unnest(old) AS x FROM r UNION ALL SELECT grp, id FROM r WHERE k > 1) GROUP BY grp)
+SELECT grp, max(id) FILTER (k = 1) AS survivor, count(*) AS members, CASE WHEN max(state) FILTER (k = 1) = 'provisional' AND bool_or(k > 1 AND state = 'confirmada') THEN 'confirmada' ELSE max(state) FILTER (k = 1) END AS state,
+ array_to_string(any_value(m.months), ',') AS months, any_value(m.last) AS last, round(sum(ndvi_ref * pixels) / sum(pixels), 3) AS ndvi_ref, round(sum(ndvi * pixels) / sum(pixels), 3) AS ndvi, array_to_string(list_sort(any_value(o.ids)), ',') AS merged, any_value(u.n) AS pixels, round(any_value(u.n) / 100, 2) AS ha
+FROM r JOIN u USING (grp) JOIN m USING (grp) JOIN o USING (grp) GROUP BY grp HAVING count(*) > 1""",
+)
+def merge_registry(spark, d):
+    alerts, cells = fragment_registry(spark, d)
+    out = lifecycle.merge_registry(alerts, lifecycle.merge_groups(alerts, cells), cells)
+    return out.withColumn("months", F.array_join(F.col("months").cast("array<string>"), ",")).withColumn("merged", F.array_join(F.col("merged").cast("array<string>"), ","))
+
+
+@query(
+    "grow_alerts",
+    f"""WITH {SQL_GRID}, cc AS (SELECT cy // 4 * 8 + cx // 8 AS change, cy, cx FROM cells WHERE (cy % 4 < 3) AND cx % 8 < 7), ac AS (SELECT cy // 10 * 4 + cx // 16 AS alert, cy, cx FROM cells WHERE cy % 10 < 2 AND cx % 16 < 6),
+c AS (SELECT change, count(*) AS grown FROM cc GROUP BY 1), a AS (SELECT alert, count(*) AS pixels FROM ac GROUP BY 1),
+t AS (SELECT change, min(alert) AS alert FROM cc JOIN ac ON ac.cy BETWEEN cc.cy - 1 AND cc.cy + 1 AND ac.cx BETWEEN cc.cx - 1 AND cc.cx + 1 GROUP BY change),
+b AS (SELECT alert, change, grown AS pixels FROM t JOIN c USING (change) JOIN a USING (alert) WHERE grown > a.pixels QUALIFY row_number() OVER (PARTITION BY alert ORDER BY grown DESC, change) = 1),
+u AS (SELECT alert, count(*) AS n FROM (SELECT b.alert, cy, cx FROM b JOIN cc USING (change) UNION SELECT alert, cy, cx FROM ac JOIN b USING (alert)) GROUP BY alert)
+SELECT alert, change, b.pixels, u.n AS cells, round(u.n / 100, 2) AS ha FROM b JOIN u USING (alert)""",
+)
+def grow_alerts(spark, d):
+    cells = grid(spark, d)
+    change_cells = cells.filter("cy % 4 < 3 and cx % 8 < 7").select(F.expr("cy div 4 * 8 + cx div 8").alias("change"), "cy", "cx")
+    alert_cells = cells.filter("cy % 10 < 2 and cx % 16 < 6").select(F.expr("cy div 10 * 4 + cx div 16").alias("alert"), "cy", "cx")
+    changes, alerts = change_cells.groupBy("change").agg(F.count("*").alias("pixels")), alert_cells.groupBy("alert").agg(F.count("*").alias("pixels"))
+    pairs = lifecycle.touches(change_cells, alert_cells)
+    return lifecycle.grow(pairs, changes, alerts, change_cells, alert_cells)
+
+
 # scenes -------------------------------------------------------------------------------------------
 
 
@@ -287,14 +331,14 @@ def classify_rules(spark, d):
 
 
 def window_events(spark, d) -> DataFrame:
-    """A window of an alert for each user and day: seen by purchases, vegetation back by large values."""
-    return read(spark, d, "events").groupBy(F.col("user_id").alias("alert"), F.day("ts").alias("t")).agg(F.bool_or(F.col("event_type") == "purchase").alias("seen"), (F.max("value") >= 150).alias("back"))
+    """A window of an alert for each user and day: seen by purchases, vegetation back by large values; each 13th user is a water body."""
+    return read(spark, d, "events").groupBy(F.col("user_id").alias("alert"), F.day("ts").alias("t")).agg(F.bool_or(F.col("event_type") == "purchase").alias("seen"), (F.max("value") >= 150).alias("back"), F.bool_or(F.col("user_id") % 13 == 0).alias("level"))
 
 
-SQL_WINDOWS = "w AS (SELECT user_id AS alert, day(ts)::INT AS t, bool_or(event_type = 'purchase') AS seen, max(value) >= 150 AS back FROM events GROUP BY 1, 2), o AS (SELECT *, row_number() OVER (PARTITION BY alert ORDER BY t) AS i FROM w)"
+SQL_WINDOWS = "w AS (SELECT user_id AS alert, day(ts)::INT AS t, bool_or(event_type = 'purchase') AS seen, max(value) >= 150 AS back, user_id % 13 = 0 AS level FROM events GROUP BY 1, 2), o AS (SELECT *, row_number() OVER (PARTITION BY alert ORDER BY t) AS i FROM w)"
 SQL_FOLD = f"""{SQL_WINDOWS}, s(alert, i, state, first, last, n_seen, changes) AS (SELECT DISTINCT alert, 0::BIGINT, NULL::VARCHAR, NULL::INT, NULL::INT, 0, 0 FROM w UNION ALL
 SELECT alert, i, nxt, CASE WHEN first IS NULL AND seen THEN t ELSE first END, CASE WHEN seen THEN t ELSE last END, n_seen + seen::INT, changes + (nxt IS DISTINCT FROM state)::INT FROM (SELECT s.alert, o.i, s.state, s.first, s.last, s.n_seen, s.changes, o.seen, o.t,
- CASE WHEN o.seen AND s.state IS NULL THEN 'provisional' WHEN o.seen AND s.n_seen + 1 >= 2 AND o.t > s.first THEN 'confirmada' WHEN o.seen THEN s.state
+ CASE WHEN o.seen AND s.state IS NULL THEN 'provisional' WHEN o.seen AND s.n_seen + 1 >= 2 AND o.t > s.first AND NOT o.level THEN 'confirmada' WHEN o.seen THEN s.state
   WHEN s.state = 'provisional' AND o.back THEN 'descartada' WHEN s.state = 'confirmada' AND o.back THEN 'revertida' WHEN s.state = 'provisional' AND o.t - s.last >= 3 THEN 'descartada' ELSE s.state END AS nxt
  FROM s JOIN o ON o.alert = s.alert AND o.i = s.i + 1)), fin AS (SELECT * FROM s WHERE state IS NOT NULL QUALIFY row_number() OVER (PARTITION BY alert ORDER BY i DESC) = 1)"""
 
@@ -309,7 +353,7 @@ def lifecycle_stream(spark, d):
     """The same fold as keyed state of a stream that is read to its end; the last update of each alert."""
     from ..streaming import alerts as stream
 
-    return stream.run_to_end(spark, window_events(spark, d).select("alert", F.col("t").cast("int").alias("t"), "seen", "back"), 3)
+    return stream.run_to_end(spark, window_events(spark, d).select("alert", F.col("t").cast("int").alias("t"), "seen", "back", "level"), 3)
 
 
 @query("monthly_stream", "SELECT user_id, ((year(ts) * 12 + month(ts) - 1))::INT AS ym, max(value) AS best, count(*) AS n FROM events GROUP BY 1, 2")
@@ -451,6 +495,16 @@ def extract_refs(spark, d):
     return notice_table(spark, d).select("notice", F.array_join(text.references(F.col("text")), ",").alias("refs"))
 
 
+@query(
+    "extract_capitals",
+    f"""WITH {SQL_NOTICES} SELECT DISTINCT notice, pol::INT AS pol, par::INT AS par FROM (SELECT notice, o_custkey % 40 AS pol, unnest([o_orderkey % 300, o_orderkey % 17, o_orderkey % 5 + 1]) AS par FROM no UNION SELECT notice, o_custkey % 9 + 1, 3 FROM no)""",
+)
+def extract_capitals(spark, d):
+    """Notices all in capitals, with full-width digits in each third."""
+    loud = F.when(F.col("notice") % 3 == 0, F.translate(F.upper("text"), "0123456789", "０１２３４５６７８９")).otherwise(F.upper("text"))
+    return notice_table(spark, d).select("notice", F.inline(text.polygon_parcels(text.compatible(loud))))
+
+
 @query("extract_rustic", f"WITH {SQL_NOTICES} SELECT notice, printf('39%03d', o_custkey % 90) AS mun, (o_custkey % 40)::INT AS pol, (o_orderkey % 300)::INT AS par FROM no")
 def extract_rustic(spark, d):
     return notice_table(spark, d).select("notice", F.inline(text.rustic(F.col("text"))))
@@ -463,12 +517,10 @@ def extract_polparc(spark, d):
 
 @query(
     "norm_municipality",
-    """SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(t), '[^\\x00-\\x7F]', '', 'g')), '[^a-z ]', ' ', 'g'), ' +', ' ', 'g')), '^(el|la|los|las) ', '') AS place
- FROM (SELECT doc_id, regexp_replace(substr(text, 1, 40), '[^ -~áéíóúñüçèêàâîôûëïäößÁÉÍÓÚÑÜÇÈÊÀÂÎÔÛËÏÄÖ]', '', 'g') AS t FROM documents)""",
+    """SELECT doc_id, md5(regexp_replace(trim(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(coalesce(text, '')), '[^\\x00-\\x7F]', '', 'g')), '[^a-z ]', ' ', 'g'), ' +', ' ', 'g')), '^(el|la|los|las) ', '')) AS place_md5 FROM documents""",
 )
 def norm_municipality(spark, d):
-    some = F.regexp_replace(F.substring("text", 1, 40), "[^ -~áéíóúñüçèêàâîôûëïäößÁÉÍÓÚÑÜÇÈÊÀÂÎÔÛËÏÄÖ]", "")
-    return read(spark, d, "documents").select("doc_id", text.place(some).alias("place"))
+    return read(spark, d, "documents").select("doc_id", F.md5(text.place(F.col("text"))).alias("place_md5"))
 
 
 @query("strip_markup", "SELECT page_id, md5(regexp_replace(html, '<[^>]+>', ' ', 'g')) AS plain_md5, length(regexp_replace(html, '<[^>]+>', ' ', 'g')) AS n FROM pages")
@@ -526,7 +578,7 @@ def cross_inputs(spark, d) -> tuple[DataFrame, DataFrame]:
     k = F.col("p_partkey")
     name = F.concat(F.lit("muni "), F.translate((k % 20).cast("string"), "0123456789", "abcdefghij"))
     parcels = read(spark, d, "part").select((k % 500).alias("alert"), k.alias("parcel"), F.format_string("%07dVP%05d", k % 1500, k % 500).alias("ref"), F.format_string("39%03d", k % 90).alias("mun"), name.alias("muni_name"), (k % 40).cast("int").alias("pol"), (k % 300).cast("int").alias("par"))
-    notices = notice_table(spark, d).select("notice", "date", "kind", "outcome", text.references(F.col("text")).alias("refs"), text.rustic(F.col("text")).alias("rustic"), text.polygon_parcels(F.col("text")).alias("polpar"), F.transform("names", text.place).alias("munis"))
+    notices = notice_table(spark, d).select("notice", "date", "kind", "outcome", F.inline(F.array(text.cited(F.col("text")))), "names").withColumn("munis", F.transform("names", text.plain_place))
     return parcels, notices
 
 
@@ -819,7 +871,7 @@ def declaration_layer(spark, d):
     return read(spark, d, "orders").select("o_orderkey", permits.layer_of(F.year("o_orderdate"), F.lit(1999)).alias("layer"))
 
 
-@query("geojson_features", f"""WITH {SQL_REGISTRY} SELECT id, '{{"type":"Feature","properties":{{"id":"' || id || '","state":"' || state || '","class":"' || class || '"}},"geometry":null}}' AS feature FROM reg WHERE state <> 'fusionada'""")
+@query("geojson_features", f"""WITH {SQL_REGISTRY} SELECT id, '{{"type":"Feature","properties":{{"id":"' || id || '","state":"' || state || '","class":"' || class || '"}},"geometry":null}}' AS feature FROM reg""")
 def geojson_features(spark, d):
     return publish.features(registry(spark, d).withColumn("geometry", F.lit(None).cast("string")), ["id", "state", "class"], "geometry")
 

@@ -59,11 +59,27 @@ def layer_years(capabilities: DataFrame, column: str = "text") -> DataFrame:
     return capabilities.select(F.explode(F.transform(found, lambda y: y.cast("int"))).alias("year")).distinct()
 
 
-def observatory(spark: SparkSession, path: str, schema: str = "map<string, struct<fecha: string, titulo: string, municipios: array<string>, sentido: string, provincia: string>>") -> DataFrame:
-    """Notices of an observatory's JSON map, newest first, undated last; an id that comes again wins by the later file."""
-    rows = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.explode(F.from_json("value", schema)).alias("notice", "n"))
-    last = rows.groupBy("notice").agg(F.max_by("n", "file").alias("n"))
-    return last.select("notice", "n.*").orderBy(F.col("fecha").desc_nulls_last(), "notice")
+#: The groups of an observatory's file, and the fields that are read of a notice.
+GROUPS = ("anuncios", "resoluciones")
+NOTICE = "fecha: string, titulo: string, url_html: string, url_xml: string, fuente: string, municipios: array<string>, sentido: string, sentido_etiqueta: string, categoria: string, provincias: array<string>"
+
+
+def observatory(spark: SparkSession, path: str, region: str) -> DataFrame:
+    """Notices of a region from an observatory's JSON files, newest first, undated last; an id that comes again wins by the later file and group.
+
+    A file maps each group to its notices by id; one that isn't JSON has none. Columns: notice, grp, and
+    fecha, titulo, url, url_xml, fuente (BOE where missing), municipios, sentido, sentido_etiqueta, categoria.
+    """
+    schema = "struct<" + ", ".join(f"{g}: map<string, struct<{NOTICE}>>" for g in GROUPS) + ">"
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.from_json("value", schema).alias("d"))
+    groups = [files.select("file", F.lit(k).alias("place"), F.lit(g).alias("grp"), F.explode(f"d.{g}").alias("notice", "n")) for k, g in enumerate(GROUPS)]
+    rows = groups[0].unionAll(groups[1]).filter(F.array_contains("n.provincias", region))
+    last = rows.groupBy("notice").agg(F.max_by(F.struct("grp", "n"), F.struct("file", "place")).alias("x")).select("notice", "x.grp", "x.n")
+    given = lambda c: F.coalesce(c, F.lit("")).alias(c.rpartition(".")[2])
+    return last.select(
+        "notice", "grp", "n.fecha", "n.titulo", F.col("n.url_html").alias("url"), "n.url_xml", F.coalesce(F.nullif(F.col("n.fuente"), F.lit("")), F.lit("BOE")).alias("fuente"), F.coalesce("n.municipios", F.array().cast("array<string>")).alias("municipios"),
+        given("n.sentido"), given("n.sentido_etiqueta"), given("n.categoria"),
+    ).orderBy(F.col("fecha").desc_nulls_last(), "notice")
 
 
 def registry(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -26,40 +26,44 @@ def monthly(stream: DataFrame, time: str, cell: str, value: str, late: str = "6
 
 
 class AlertState(StatefulProcessor):
-    """One alert: rows of windows come in any order within a batch and are taken in window order."""
+    """One alert: its windows are kept, a month each, and folded again in order when one comes, however late."""
 
     def __init__(self, expiry: int = PARAMS.expiry_months):
         self.expiry = expiry
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.value = handle.getValueState("alert", STATE)
+        self.windows = handle.getMapState("windows", "t int", "seen boolean, back boolean, level boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        state, first, last, n, _ = self.value.get() if self.value.exists() else (None, None, None, 0, None)
-        frame = pd.concat(list(rows)).sort_values("t")
-        for t, seen, back in frame[["t", "seen", "back"]].itertuples(index=False):
+        for frame in rows:
+            for t, seen, back, level in frame[["t", "seen", "back", "level"]].itertuples(index=False):
+                old = self.windows.getValue((int(t),)) if self.windows.containsKey((int(t),)) else (False, False, False)
+                self.windows.updateValue((int(t),), tuple(bool(a) or bool(b) for a, b in zip(old, (seen, back, level), strict=True)))
+        state = first = last = None
+        n = 0
+        windows = sorted((k[0], *v) for k, v in self.windows.iterator())
+        for t, seen, back, level in windows:
             if seen:
-                n, last = n + 1, int(t)
-                first = int(t) if first is None else first
+                n, last = n + 1, t
+                first = t if first is None else first
                 if state is None:
                     state = "provisional"
-                elif n >= 2 and last > first:
+                elif n >= 2 and last > first and not level:
                     state = "confirmada"
             elif state in ("provisional", "confirmada") and back:
                 state = "descartada" if state == "provisional" else "revertida"
             elif state == "provisional" and t - last >= self.expiry:
                 state = "descartada"
-        t = int(frame["t"].iloc[-1])
         if state is not None:
-            self.value.update((state, first, last, n, t))
-            yield pd.DataFrame({"alert": [key[0]], "state": [state], "first": [first], "last": [last], "n_seen": [n], "t": [t]})
+            yield pd.DataFrame({"alert": [key[0]], "state": [state], "first": [first], "last": [last], "n_seen": [n], "t": [windows[-1][0]]})
 
     def close(self) -> None:
         pass
 
 
 def alert_states(windows: DataFrame, expiry: int = PARAMS.expiry_months) -> DataFrame:
-    """A stream of alert, t, seen, back to a stream of alerts' states."""
+    """A stream of alert, t, seen, back and, where known, level to a stream of alerts' states."""
+    windows = windows if "level" in windows.columns else windows.withColumn("level", F.lit(False))
     return windows.groupBy("alert").transformWithStateInPandas(AlertState(expiry), OUTPUT, "Update", "None")
 
 
@@ -86,7 +90,7 @@ def monthly_to_end(spark: SparkSession, path: str) -> DataFrame:
     """Monthly values of the events table, read as a stream."""
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = spark.read.parquet(path).schema
-    rows = spark.readStream.schema(schema).parquet(path.rsplit("/", 1)[0] + "/events*.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = spark.readStream.schema(schema).parquet(path.rsplit("/", 1)[0] + "/[" + path.rsplit("/", 1)[1][0] + "]" + path.rsplit("/", 1)[1][1:]).withColumn("ts", F.col("ts").cast("timestamp"))
     _drained(monthly(rows, "ts", "user_id", "value"), folder, "complete")
     out = spark.read.parquet(f"{folder}/out")
     return out.filter(F.col("batch") == out.agg(F.max("batch")).first()[0]).drop("batch")
