@@ -38,7 +38,7 @@ BITS = 64
 #: at most in a candidate pair.
 SHINGLE, SIMILARITY, SEEDS, FARTHEST = 5, (4, 5), 3, 14
 #: Bounds of memory: known words, rows of a broadcast key table.
-MEMO_WORDS, BROADCAST_ROWS = 500_000, 1_000_000
+MEMO_WORDS, BROADCAST_ROWS = 100_000, 1_000_000
 
 
 def masks(radius: int) -> list[int]:
