@@ -8,8 +8,9 @@ expected number of chance segments E = K n exp(-lambda S) (Karlin and Altschul 1
 E < 1 add -ln E, and a logistic curve over that sum, fitted on labelled rows that the log-odds did
 not see, gives the score.
 
-Labels are a sample of at most about TRAIN_ROWS rows chosen by hash; counts over the corpus and
-scores cover every document and every word.
+Labels are a sample of at most about TRAIN_ROWS rows chosen by hash, and of their features at most the
+MOST_FEATURES of highest log-odds between the labels are kept; counts over the corpus and scores cover
+every document and every word. So what the driver holds and broadcasts doesn't grow with the input.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .shared import stash, table
 
-TRAIN_ROWS = 200_000
+TRAIN_ROWS, MOST_FEATURES = 200_000, 50_000
 DRIFT, PRIOR, LEAST_DOCUMENTS, PREFIXES, K = 0.05, 0.5, 2, (4, 5, 6, 7), 0.1
 _FLUSH, _MEMO = 300_000, 400_000
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„…¿¡"
@@ -103,6 +104,14 @@ def weights(toxic: np.ndarray, clean: np.ndarray, corpus: np.ndarray, sums: tupl
     return odds - 1.64 * np.sqrt(1 / a + 1 / b)
 
 
+def _odds(n_toxic: int, n_clean: int) -> Column:
+    """The same lower bound over rows of toxic and clean counts, the prior being spread by both together."""
+    share = (F.col("toxic") + F.col("clean") + 0.5) / (n_toxic + n_clean + 1)
+    a, b = F.col("toxic") + PRIOR * n_toxic * share, F.col("clean") + PRIOR * n_clean * share
+    odds = F.log(a / F.greatest((1 + PRIOR) * n_toxic - a, F.lit(0.5))) - F.log(b / F.greatest((1 + PRIOR) * n_clean - b, F.lit(0.5)))
+    return odds - 1.64 * F.sqrt(1 / a + 1 / b)
+
+
 def decay(rates: np.ndarray, scores: np.ndarray) -> float:
     """lambda > 0 with sum(rate * exp(lambda * score)) = 1 when all other words score -DRIFT."""
     if not len(scores):
@@ -191,8 +200,8 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
     """doc_id, held_out, score, predicted, evidence and segments of each row of ``docs``.
 
-    A null text counts as empty: it has no evidence and the score of a text without any. Repeated
-    rows each give a row. Without labels the curve stays at its default. Only ``key`` and ``text``
+    A null text counts as empty: it has no evidence and the score of a text without any. A text of any
+    length is read whole. Repeated rows each give a row. Without labels the curve stays at its default. Only ``key`` and ``text``
     are read of ``docs``; no input of a score but the text.
     """
     spark = docs.sparkSession
@@ -202,28 +211,21 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     known: dict[str, float] = {}
     lam = 1.0
     if (toxic[fit] == 1).any():
-        ids = spark.createDataFrame([(int(k),) for k in keys[fit & (toxic == 1)]], "k long")
-        first = src.join(F.broadcast(ids), "k").mapInArrow(_counts(lambda: (lambda c: [(0,)] * len(c), None, 1)), "feature string, c0 long")
-        candidates = first.groupBy("feature").agg(F.sum("c0").alias("n")).filter(F.col("n") >= LEAST_DOCUMENTS).toPandas()
-        names = dict(zip(candidates["feature"], candidates["n"].tolist(), strict=True))
-        shared = spark.sparkContext.broadcast((frozenset(names), keys[fit & (toxic == 0)]))
-
-        def pick():
-            wanted, clean = shared.value
-
-            def rows_of(column: pa.Array) -> list[tuple]:
-                got = np.isin(column.fill_null(-(1 << 62)).to_numpy(zero_copy_only=False), clean, kind="sort")
-                return [(0, 1) if c else (0,) for c in got]
-
-            return rows_of, wanted, 2
-
-        second = src.mapInArrow(_counts(pick), "feature string, c0 long, c1 long").groupBy("feature").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).toPandas()
+        ids = spark.createDataFrame([(int(k), int(y)) for k, y in zip(keys[fit], toxic[fit], strict=True)], "k long, y int")
+        by_label = lambda: (lambda c: [(y,) for y in c.to_pylist()], None, 2)
+        first = src.join(F.broadcast(ids), "k").select("y", "t").mapInArrow(_counts(by_label), "feature string, c0 long, c1 long")
+        labelled = stash(first.groupBy("feature").agg(F.sum("c0").alias("clean"), F.sum("c1").alias("toxic")), "features")
+        sums = labelled.filter("feature = ''").select("toxic", "clean").first() or (0, 0)
+        chosen = labelled.filter((F.col("feature") != "") & (F.col("toxic") >= LEAST_DOCUMENTS)).withColumn("w", _odds(max(1, sums[0]), max(1, sums[1])))
+        best = chosen.orderBy(F.desc("w"), "feature").limit(MOST_FEATURES).select("feature", "toxic", "clean").toPandas().sort_values("feature")
+        shared = spark.sparkContext.broadcast(frozenset(best["feature"]))
+        whole = lambda: (lambda c: [(0,)] * len(c), shared.value, 1)
+        counted = src.mapInArrow(_counts(whole), "feature string, c0 long").groupBy("feature").agg(F.sum("c0").alias("n")).toPandas()
         shared.unpersist()
-        counts = {f: (a, c) for f, a, c in zip(second["feature"], second["c0"].tolist(), second["c1"].tolist(), strict=True)}
-        sums = names.pop("", 0), counts.get("", (0, 0))[1], counts.get("", (0, 0))[0]
-        order = sorted(names)
-        t, c, n = (np.array([v(f) for f in order], "f8") for v in (lambda f: names[f], lambda f: counts.get(f, (0, 0))[1], lambda f: counts.get(f, (0, 0))[0]))
-        w = weights(t, c, n, sums)
+        corpus = dict(zip(counted["feature"], counted["n"].tolist(), strict=True))
+        order = best["feature"].tolist()
+        t, c, n = best["toxic"].to_numpy("f8"), best["clean"].to_numpy("f8"), np.array([corpus.get(f, 0) for f in order], "f8")
+        w = weights(t, c, n, (sums[0], sums[1], corpus.get("", 0)))
         good = w > 0.5
         known = {f: float(x) for f, x, ok in zip(order, w, good, strict=True) if ok}
         lam = decay((c[good] + 0.5) / max(1, sums[1]), w[good])
