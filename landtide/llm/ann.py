@@ -5,7 +5,7 @@ bounded sample is split in halves by size again and again; the means of the part
 and a graph over them, in each worker's memory, is searched by a beam. Every distinct vector goes
 into the list of its nearest centroid, and a boundary vector also into those of others hardly
 farther. A query reads the lists whose centroid is at most 1 + SEARCH_RATIO times as far as the
-nearest one, LEAST_LISTS at least. Lists lie in files by group of centroids, in blocks; found candidates are scored again
+nearest one, LEAST_LISTS at least and no more than the beam of the search holds. Lists lie in files by group of centroids, in blocks; found candidates are scored again
 in double precision on the original vectors.
 
 Equal vectors are one entry with its TOP + 1 smallest ids: since ties go to the smaller id, no other
@@ -29,7 +29,7 @@ from .shared import new_path, stash, table
 #: The centroids are fitted on about SAMPLE vectors at most, chosen by hash; every vector is indexed.
 SAMPLE, LIST_ROWS, GROUP_LISTS = 40_000, 128, 128
 REPLICAS, REPLICA_RATIO, SEARCH_RATIO = 3, 0.05, 0.15
-DEGREE, BEAM, LEAST_LISTS, BLOCK_ROWS, QUERIES = 16, 48, 32, 4096, 256
+DEGREE, POST_BEAM, ASK_BEAM, LEAST_LISTS, BLOCK_ROWS, QUERIES = 16, 16, 160, 64, 4096, 256
 
 
 class Centroids:
@@ -66,37 +66,45 @@ class Centroids:
         cut = max(1, len(part) * (lists // 2) // lists)
         return self._split(part[order[:cut]], lists // 2) + self._split(part[order[cut:]], lists - lists // 2)
 
-    def search(self, q: np.ndarray, ratio: float, least: int = 1) -> list[np.ndarray]:
-        """For each row of ``q`` the centroids within 1 + ``ratio`` times the distance of its nearest, at least ``least``, nearest first, by beam search.
+    def search(self, q: np.ndarray, ratio: float, least: int, beam: int) -> list[np.ndarray]:
+        """For each row of ``q`` the centroids found within 1 + ``ratio`` times the distance of its nearest, at least ``least``, nearest first.
 
-        A beam goes on until the best point that it hasn't expanded is out of the ratio and beyond the beam.
+        A beam search over the graph: each hop expands the nearest centroid of the beam that hasn't been, and
+        costs the same whatever the number of centroids. It ends when what is left lies out of the ratio
+        and ``least`` centroids are known to be nearer, or the whole beam has been expanded.
         """
         m, n = len(q), len(self.c)
-        q2, rows = (q * q).sum(1), np.arange(m)
-        dist, done = np.full((m, n), np.inf, "f4"), np.zeros((m, n), bool)
-        start = np.unique(np.linspace(0, n - 1, min(n, 32)).astype(int))
-        dist[:, start] = q2[:, None] + self.norms[start] - 2 * q @ self.c[start].T
-        live = rows
+        beam = min(beam, n)
+        q2, out = (q * q).sum(1), []
+        start = np.unique(np.linspace(0, n - 1, beam).astype(int))
+        ids = np.broadcast_to(start, (m, len(start))).copy()
+        dist = q2[:, None] + self.norms[start] - 2 * q @ self.c[start].T
+        done = np.zeros(ids.shape, bool)
+        live = np.arange(m)
         while len(live):
-            open_ = np.where(done[live], np.inf, dist[live])
+            d, i = dist[live], ids[live]
+            open_ = np.where(done[live], np.inf, d)
             best = open_.argmin(1)
-            score = open_[np.arange(len(live)), best]
-            nearest = dist[live].min(1)
-            width = np.partition(dist[live], min(BEAM, n) - 1, 1)[:, min(BEAM, n) - 1]
-            goes = np.isfinite(score) & ((score <= np.maximum(nearest, 0) * (1 + ratio) ** 2) | (score <= width))
-            live, best = live[goes], best[goes]
+            rows = np.arange(len(live))
+            score = open_[rows, best]
+            wanted = np.partition(d, least - 1, 1)[:, least - 1] if least < d.shape[1] else d.max(1)
+            goes = np.isfinite(score) & ((score <= np.maximum(d.min(1), 0) * (1 + ratio) ** 2) | (score <= wanted))
+            live, best, i, d = live[goes], best[goes], i[goes], d[goes]
             if not len(live):
                 break
             done[live, best] = True
-            near = self.graph[best]
-            d = q2[live, None] + self.norms[near] - 2 * np.einsum("ij,ikj->ik", q[live], self.c[near])
-            dist[live[:, None], near] = d
+            near = np.sort(self.graph[i[np.arange(len(live)), best]], 1)
+            new = self.norms[near] + q2[live, None] - 2 * np.einsum("ij,ikj->ik", q[live], self.c[near])
+            new[:, 1:][near[:, 1:] == near[:, :-1]] = np.inf
+            new[(near[:, :, None] == i[:, None, :]).any(2)] = np.inf
+            every, of, seen = np.concatenate([d, new], 1), np.concatenate([i, near], 1), np.concatenate([done[live], ~np.isfinite(new)], 1)
+            keep = np.argpartition(every, beam - 1, 1)[:, :beam]
+            dist[live], ids[live], done[live] = (np.take_along_axis(x, keep, 1) for x in (every, of, seen))
         root = np.sqrt(np.maximum(dist, 0))
-        out = []
-        for i in rows.tolist():
-            order = np.argsort(root[i])
-            n_near = int((root[i] <= (1 + ratio) * root[i][order[0]] + 1e-6).sum())
-            out.append(order[: max(n_near, min(least, int(np.isfinite(root[i]).sum())))])
+        for k in range(m):
+            order = np.argsort(root[k], kind="stable")
+            n_near = int((root[k] <= (1 + ratio) * root[k][order[0]] + 1e-6).sum())
+            out.append(ids[k][order[: max(n_near, least)]])
         return out
 
 
@@ -109,27 +117,40 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def valid(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """id and v of the rows that take part: no null key, no null, non-finite or all-zero vector, the commonest length; equal rows once."""
+    """id and v of the rows that take part: no null key, no null, non-finite or all-zero vector."""
     v = F.col(vector)
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    good = rows.filter(F.col(key).isNotNull() & v.isNotNull() & F.forall(v, finite) & F.exists(v, lambda x: x != 0)).select(F.col(key).cast("long").alias("id"), v.cast("array<float>").alias("v"))
-    size = good.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return good.filter(F.size("v") == (size["n"] if size else 0))
+    return rows.filter(F.col(key).isNotNull() & v.isNotNull() & F.forall(v, finite) & F.exists(v, lambda x: x != 0)).select(F.col(key).cast("long").alias("id"), v.cast("array<float>").alias("v"))
+
+
+FOUND = "query_id long, rank int, vec_id long, score double"
 
 
 def nearest(rows: DataFrame, is_query, top: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the ``top`` nearest found for each query, the query's own id left out.
 
     is_query: a condition on the column id. Rows that can't take part (see valid) neither ask nor
-    answer. With fewer candidates all of them are returned; an empty input gives no row.
+    answer; vectors of different lengths have no product, so each length has an index of its own.
+    Equal rows count once. With fewer candidates all of them are returned; an empty input gives no row.
+    Other columns are not read.
     """
     spark = rows.sparkSession
     good = stash(valid(rows, key, vector), "vectors")
+    sizes = sorted(r[0] for r in good.select(F.size("v")).distinct().collect())
+    found = [_nearest(good.filter(F.size("v") == n), is_query, top) for n in sizes]
+    if not found:
+        return spark.createDataFrame([], FOUND)
+    for more in found[1:]:
+        found[0] = found[0].unionAll(more)
+    return found[0]
+
+
+def _nearest(good: DataFrame, is_query, top: int) -> DataFrame:
+    """nearest() of valid vectors of one length."""
+    spark = good.sparkSession
     copies = Window.partitionBy(F.xxhash64("v"), "v").orderBy("id")
     distinct = stash(good.distinct().withColumn("n", F.row_number().over(copies)).filter(F.col("n") <= top + 1).groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "distinct-vectors")
     n = distinct.count()
-    if not n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
     scale = distinct.agg(F.max(norm)).first()[0]
     part = distinct if n <= SAMPLE else distinct.filter(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) < int((1 << 30) * SAMPLE / n))
@@ -144,7 +165,7 @@ def nearest(rows: DataFrame, is_query, top: int = 20, key: str = "vec_id", vecto
         for batch in batches:
             for lo in range(0, len(batch), QUERIES):
                 b = batch.slice(lo, QUERIES)
-                found = [f[:REPLICAS] for f in centroids.search(_lift(_matrix(b.column(0)), scale), REPLICA_RATIO)]
+                found = [f[:REPLICAS] for f in centroids.search(_lift(_matrix(b.column(0)), scale), REPLICA_RATIO, 1, POST_BEAM)]
                 take = pa.array(np.repeat(np.arange(len(b)), [len(f) for f in found]))
                 place = np.concatenate(found)
                 yield pa.RecordBatch.from_arrays([pa.array((place // GROUP_LISTS).astype("i4")), pa.array(place.astype("i4")), b.column(0).take(take), b.column(1).take(take)], ["g", "list", "v", "ids"])
@@ -183,7 +204,7 @@ def nearest(rows: DataFrame, is_query, top: int = 20, key: str = "vec_id", vecto
                 b = batch.slice(lo, QUERIES)
                 q = _matrix(b.column(1))
                 lifted = np.concatenate([q * np.float32(math.sqrt(scale)) / np.maximum(np.sqrt((q * q).sum(1))[:, None], 1e-30), np.zeros((len(q), 1), "f4")], 1)
-                rows_ = [(i, g, f[f // GROUP_LISTS == g]) for i, f in enumerate(centroids.search(lifted.astype("f4"), SEARCH_RATIO, LEAST_LISTS)) for g in np.unique(f // GROUP_LISTS)]
+                rows_ = [(i, g, f[f // GROUP_LISTS == g]) for i, f in enumerate(centroids.search(lifted.astype("f4"), SEARCH_RATIO, LEAST_LISTS, ASK_BEAM)) for g in np.unique(f // GROUP_LISTS)]
                 take = pa.array([i for i, _, _ in rows_], pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([g for _, g, _ in rows_], pa.int32()), b.column(0).take(take), b.column(1).take(take), pa.array([f.tolist() for _, _, f in rows_], pa.list_(pa.int32()))], ["g", "query_id", "q", "lists"])
 
@@ -211,35 +232,39 @@ def nearest(rows: DataFrame, is_query, top: int = 20, key: str = "vec_id", vecto
 
 
 def _best(queries: pa.RecordBatch, paths: list[str], top: int) -> Iterator[pa.RecordBatch]:
-    """The best of the entries in a group's files for each query, over the lists that it selected."""
+    """The best of the entries in a group's files for each query, over the lists that it selected: a list is scored for the queries that want it only."""
     q, names = _matrix(queries.column(2)).astype("f8"), queries.column(1).to_numpy()
     keep = REPLICAS * (top + 1)  # an entry may lie in so many lists
     chosen = np.zeros((len(q), GROUP_LISTS), bool)
     lists = queries.column(3)
     chosen[np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy() % GROUP_LISTS] = True
-    best = np.full((len(q), 0), 0.0)
-    where: np.ndarray = np.zeros((len(q), 0), "i8")
+    best = np.full((len(q), keep), -np.inf)
+    where = np.zeros((len(q), keep), "i8")
     vectors, ids, held = [], [], 0
     for path in paths:
         store, name = fs.FileSystem.from_uri(path)
         with store.open_input_stream(name) as f, pa.ipc.open_stream(f) as blocks:
             for block in blocks:
-                x = _matrix(block.column(2))
-                scores = np.where(chosen[:, block.column(1).to_numpy() % GROUP_LISTS], q @ x.T.astype("f8"), -np.inf)
-                if len(x) > keep:
+                x, which = _matrix(block.column(2)), block.column(1).to_numpy() % GROUP_LISTS
+                edges = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1], [True]]))
+                used = np.zeros(len(x), bool)
+                for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                    asking = np.flatnonzero(chosen[:, which[lo]])
+                    if not len(asking):
+                        continue
+                    scores = np.concatenate([best[asking], q[asking] @ x[lo:hi].T.astype("f8")], 1)
+                    places = np.concatenate([where[asking], np.broadcast_to(np.arange(held + lo, held + hi), (len(asking), hi - lo))], 1)
                     cut = np.argpartition(-scores, keep - 1, 1)[:, :keep]
-                    scores = np.take_along_axis(scores, cut, 1)
-                else:
-                    cut = np.broadcast_to(np.arange(len(x)), scores.shape)
+                    best[asking], where[asking] = np.take_along_axis(scores, cut, 1), np.take_along_axis(places, cut, 1)
                 # only the entries that some query keeps stay in memory
-                used, place = np.unique(cut, return_inverse=True)
+                mine = where[np.isfinite(best)]
+                used[mine[mine >= held] - held] = True
+                place = np.cumsum(used) - 1 + held
+                late = where >= held
+                where[late] = place[where[late] - held]
                 vectors.append(x[used])
-                ids.append(block.column(3).take(pa.array(used)))
-                best, where = np.concatenate([best, scores], 1), np.concatenate([where, place.reshape(cut.shape) + held], 1)
-                held += len(used)
-                if best.shape[1] > keep:
-                    cut = np.argpartition(-best, keep - 1, 1)[:, :keep]
-                    best, where = np.take_along_axis(best, cut, 1), np.take_along_axis(where, cut, 1)
+                ids.append(block.column(3).filter(pa.array(used)))
+                held += int(used.sum())
     out_q, out_v, out_s = [], [], []
     if held:
         x, known = np.concatenate(vectors), [i for part in ids for i in part.to_pylist()]

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -436,6 +437,53 @@ def test_search_recall_and_scores(spark):
     assert np.mean(recall) >= 0.9 and set(got) == set(range(0, len(x), 20))
 
 
+def test_op6_of_every_query(spark):
+    """The registered query against all inner products."""
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    x, ids = np.array([r["embedding"] for r in rows], "f8"), np.array([r["vec_id"] for r in rows])
+    got = {}
+    for r in queries.QUERIES["op6_posting_lists"](spark, SF).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == {i for i in ids.tolist() if i % 20 == 0}
+    hits = 0
+    for q, found in got.items():
+        score = x @ x[np.flatnonzero(ids == q)[0]]
+        best = [int(ids[k]) for k in np.lexsort((ids, -score)) if ids[k] != q][:20]
+        assert [r for r, _, _ in sorted(found)] == list(range(1, 21))
+        assert all(abs(float(score[np.flatnonzero(ids == v)[0]]) - s) < 1e-9 for _, v, s in found)
+        hits += len({v for _, v, _ in found} & set(best))
+    assert hits >= 0.9 * 20 * len(got)
+
+
+def test_vectors_of_another_length_have_an_index_of_their_own(spark):
+    rows = [(i, [float(i + 1), 1.0]) for i in range(25)] + [(100 + i, [float(i + 1), 1.0, 2.0]) for i in range(25)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.nearest(frame, F.col("id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert got == {0: set(range(5, 25)), 20: set(range(25)) - {20, 0, 1, 2, 3}, 100: set(range(105, 125)), 120: set(range(100, 125)) - {120, 100, 101, 102, 103}}
+
+
+def test_lists_found_by_the_beam_are_the_nearest(monkeypatch):
+    rng = np.random.default_rng(3)
+    centroids = ann.Centroids(rng.normal(size=(4000, 12)).astype("f4"), 300)
+    q = rng.normal(size=(50, 12)).astype("f4")
+    found = centroids.search(q, 0.0, 10, 64)
+    hits = sum(len(set(f[:10].tolist()) & set(((centroids.c - x) ** 2).sum(1).argsort()[:10].tolist())) for f, x in zip(found, q, strict=True))
+    assert hits >= 0.95 * 500 and all(len(set(f.tolist())) == len(f) for f in found)
+
+
+def test_op7_of_every_document(spark):
+    """The registered query: every document once, folds by checksum, and held-out labels mostly right."""
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    rows = queries.QUERIES["op7_segment_toxicity"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == spark.read.parquet("/root/testdata/sf0.01/documents.parquet").count() == len({r["doc_id"] for r in rows})
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+    told = [(labels[r["doc_id"]], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    assert sum(a == b for a, b in told) >= 0.9 * len(told) and sum(a and b for a, b in told) >= 0.6 * sum(a for a, _ in told)
+
+
 def test_search_of_few_or_none(spark):
     few = ann.nearest(vectors(spark, np.eye(3, dtype="f4")), F.col("id") % 20 == 0).collect()
     assert sorted((r["query_id"], r["vec_id"]) for r in few) == [(0, 1), (0, 2)]
