@@ -22,9 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.spans import let, running
 from .shared import computed_once, stash, table
 
-THRESHOLD, CHUNK = 0.75, 64
+THRESHOLD = 0.75
 #: The base patterns. Possessive repeats and the look-behinds change no match: they keep long runs
 #: linear, and a possessive group is a loop in the matcher, where a greedy one recurses for every repeat.
 PATTERNS = {
@@ -39,26 +40,6 @@ WORD = r"[^\s\p{Punct}]+"
 _SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
 
 
-def _let(value: Column, *steps) -> Column:
-    """``value`` passed through functions of a column, each result computed once."""
-    once = lambda step: lambda x: step(x)
-    for step in steps:
-        value = F.get(F.transform(F.array(value), once(step)), F.lit(0))
-    return value
-
-
-def running(values: Column, combine) -> Column:
-    """The sums, or maxima, of the beginnings of an array of integers, in chunks: an aggregate that holds an array would copy it at each step."""
-    over = lambda part: F.aggregate(part, F.lit(0), combine)
-    chunks = _let(values, lambda v: F.struct(v.alias("v"), F.transform(F.sequence(F.lit(0), (F.size(v) / CHUNK).cast("int")), lambda k: over(F.slice(v, k * CHUNK + 1, F.lit(CHUNK)))).alias("whole")))
-
-    def prefix(c: Column) -> Column:
-        before = F.transform(c["whole"], lambda _, k: over(F.slice(c["whole"], F.lit(1), k)))
-        return _let(F.struct(c["v"].alias("v"), before.alias("before")), lambda x: F.transform(x["v"], lambda _, i: combine(F.get(x["before"], (i / CHUNK).cast("int")), over(F.slice(x["v"], (i / CHUNK).cast("int") * CHUNK + 1, i % CHUNK + 1)))))
-
-    return _let(chunks, prefix)
-
-
 def matches(text: Column, pattern: str, kind: int) -> Column:
     """All matches as (kind, start, end, value): code points, end exclusive.
 
@@ -71,7 +52,7 @@ def matches(text: Column, pattern: str, kind: int) -> Column:
         one = lambda m, end: F.struct(F.lit(kind).alias("kind"), (end - F.length(m)).alias("start"), end.alias("end"), m.alias("value"))
         return F.when(F.size(found) == 0, F.array().cast(_SPAN)).otherwise(F.zip_with(found, running(lengths, lambda a, b: a + b), one))
 
-    return _let(found, places)
+    return let(found, places)
 
 
 def luhn(digits: Column) -> Column:
@@ -112,7 +93,7 @@ def rewritten(text: Column, spans: Column, word) -> Column:
         return F.concat(F.array_join(F.transform(x["spans"], piece), ""), tail)
 
     ends = lambda spans: running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
-    held = _let(spans, lambda spans: F.struct(F.split(text, "").alias("chars"), spans.alias("spans"), ends(spans).alias("reach")), pieces)
+    held = let(spans, lambda spans: F.struct(F.split(text, "").alias("chars"), spans.alias("spans"), ends(spans).alias("reach")), pieces)
     return F.when(F.size(spans) == 0, text).otherwise(held)
 
 
@@ -140,7 +121,7 @@ def words_between(text: Column) -> Column:
         return F.transform(F.filter(held, lambda x, i: (i == 0) | (F.get(held, i - 1)["h"] != x["h"])), lambda x: F.struct(x["h"], x["before"], x["after"]))
 
     value = F.transform(F.filter(_tokens(text), lambda w: w != ""), lambda w: F.xxhash64(w))
-    return _let(value, placed, F.sort_array, firsts)
+    return let(value, placed, F.sort_array, firsts)
 
 
 def parts(span: Column) -> Column:

@@ -45,6 +45,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced = spaced
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added_begin = os.path.commonprefix(self.added)
         self.memo: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         # where in the ids of joined words each word begins (after a blank, or a line break) or ends
@@ -53,6 +54,9 @@ class Encoder:
         self.edge = np.zeros(max(ids.values()) + 1, bool)
         self.edge[[i for t, i in ids.items() if t and edge(t)]] = True
 
+    def _holds_added(self, chunk: str) -> bool:
+        return self.added_begin in chunk and any(t in chunk for t in self.added)
+
     def _alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -81,10 +85,10 @@ class Encoder:
         lines: set[str] = set()
         marked, rest, lowered, bad = [], [], [], set()
         for c in [c for c in chunks if c not in memo]:
-            if any(t in c for t in self.added):
+            if self._holds_added(c):
                 bad.add(c)
                 continue
-            if not self.spaced and c.isascii() and (low := c.lower()) != c and not any(t in low for t in self.added):
+            if not self.spaced and c.isascii() and (low := c.lower()) != c and not self._holds_added(low):
                 lowered.append((c, low))
                 c = low
                 if c in memo:
