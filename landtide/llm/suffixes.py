@@ -38,7 +38,7 @@ LENGTH, K, SLICE = 200, 64, 250_000
 GROUP_ROWS = 50_000
 #: Entries of one file that are held at a time to find runs that occur again there.
 ENTRIES = 500_000
-#: Runs of one anchor that are compared in one task; of more, windows are dealt by their place before the anchor.
+#: Runs of one anchor that are compared in one task; of more, windows are dealt by their place before the anchor and the bytes that all windows of such places hold.
 HOT_RUNS, OFFSETS = 1_000, 20
 #: In the place of an entry: the run is covered (it occurs again in its file or has done so before), or that is all there is to tell.
 AGAIN, ONLY = 1 << 61, 1 << 62
@@ -294,7 +294,11 @@ def _scan(levels: list[str], merged: list[str], into: str | None):
 
 
 def _fetch(folder: str):
-    """Streams (file, tid, m, place, hot) sorted by file; yields the runs' bytes, of a hot anchor in pieces by the windows' places before it."""
+    """Streams (file, tid, m, place, hot) sorted by file; yields the runs' bytes.
+
+    Those of a hot anchor come in pieces by the windows' places before it, dealt by the bytes that all windows
+    of such places hold; pieces that are equal in one file are covered (without bytes), but for one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, cols in whole_groups(batches, 1 << 62):
@@ -303,28 +307,42 @@ def _fetch(folder: str):
                 yield from pieces(int(cols[0][lo]), *(x[lo:hi] for x in cols[1:]))
 
     def pieces(number: int, tid: np.ndarray, m: np.ndarray, place: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         order = np.argsort(tid, kind="stable")
         wanted = list(zip(*(x[order].tolist() for x in (tid, m, place, hot)), strict=True))
         i, rows = 0, []
+        known: dict[tuple[int, bytes], tuple | None] = {}  # the first of equal pieces, or none once it is told
         for t, _, b in _texts(folder, number):
             while i < len(wanted) and wanted[i][0] == t:
                 _, anchor, x, is_hot = wanted[i]
                 i += 1
                 a, before, n = x >> 20, (x >> 10) & 1023, x & 1023
                 if not is_hot:
-                    rows.append((anchor, t, a, b[a : a + n + LENGTH - 1]))
+                    rows.append((anchor, t, a, a + n + LENGTH - 1, b[a : a + n + LENGTH - 1]))
                     continue
                 for k in range((before - n + 1) // OFFSETS, before // OFFSETS + 1):
                     first, last = a + max(0, before - (k + 1) * OFFSETS + 1), a + min(n - 1, before - k * OFFSETS)
-                    rows.append((_dealt(anchor, k), t, first, b[first : last + LENGTH]))
+                    at = a + before - k * OFFSETS
+                    key = _dealt(anchor ^ xxhash.xxh64_intdigest(b[at : at - OFFSETS + 1 + LENGTH]), k)
+                    piece = b[first : last + LENGTH]
+                    row, same = (key, t, first, last + LENGTH), (key, xxhash.xxh3_128_digest(piece))
+                    if same not in known:
+                        known[same] = row
+                        rows.append((*row, piece))
+                        continue
+                    if known[same]:
+                        rows.append((*known[same], None))
+                        known[same] = None
+                    rows.append((*row, None))
             if len(rows) >= 2_000:
                 yield batch_of(rows)
                 rows = []
         yield batch_of(rows)
 
     def batch_of(rows: list) -> pa.RecordBatch:
-        cols = list(zip(*rows, strict=True)) if rows else [()] * 4
-        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.binary())], ["m", "tid", "a", "bytes"])
+        cols = list(zip(*rows, strict=True)) if rows else [()] * 5
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.binary())], ["m", "tid", "a", "e", "bytes"])
 
     return run
 
@@ -468,11 +486,13 @@ class Family:
         asked = stash(self.found.filter("kind = 1").select("m", "tid", "place").distinct(), "asked")
         hot = asked.groupBy("m").count().filter(F.col("count") > HOT_RUNS).select("m", F.lit(1).cast("long").alias("hot"))
         marked = asked.join(hot, "m", "left").select(F.shiftright("tid", 32).alias("file"), "tid", "m", "place", F.coalesce("hot", F.lit(0)).cast("long").alias("hot"))
-        pieces = marked.repartition("file").sortWithinPartitions("file").mapInArrow(_fetch(self.folder), "m long, tid long, a long, bytes binary")
-        done = stash(pieces.repartition("m").sortWithinPartitions("m").mapInArrow(_compare, "kind byte, z1 long, z2 long, tid long, s long, e long"), "windows")
+        pieces = marked.repartition("file").sortWithinPartitions("file").mapInArrow(_fetch(self.folder), "m long, tid long, a long, e long, bytes binary")
+        pieces = stash(pieces, "pieces")
+        equal = pieces.filter("bytes is null").select("tid", F.col("a").alias("s"), "e")
+        done = stash(pieces.filter("bytes is not null").select("m", "tid", "a", "bytes").repartition("m").sortWithinPartitions("m").mapInArrow(_compare, "kind byte, z1 long, z2 long, tid long, s long, e long"), "windows")
         large = done.filter("kind = 1")
         twice = large.groupBy("z1", "z2").agg(F.count("*").alias("k")).filter("k > 1").select("z1", "z2")
-        return whole.unionAll(done.filter("kind = 0").select("tid", "s", "e")).unionAll(large.join(twice, ["z1", "z2"]).select("tid", "s", "e"))
+        return whole.unionAll(equal).unionAll(done.filter("kind = 0").select("tid", "s", "e")).unionAll(large.join(twice, ["z1", "z2"]).select("tid", "s", "e"))
 
 
 def _strip(folder: str):

@@ -366,6 +366,10 @@ def test_removal_in_eight_batches_equals_one(spark, documents):
 def test_hot_anchors_are_dealt_by_place(spark, documents, monkeypatch):
     monkeypatch.setattr(suffixes, "HOT_RUNS", 2)
     check_removal(spark, documents, corpus(6), batches=2)
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = noise(420)
+    check_removal(spark, documents, [noise(rng.randint(0, 90)) + shared[rng.choice([0, 0, 7]) :] + noise(rng.randint(0, 90)) for _ in range(60)])
 
 
 def test_op10_of_every_document(spark):
