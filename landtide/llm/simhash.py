@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import stash, table, whole_groups
+from .shared import stash, table, tidy, whole_groups
 
 BUCKET_ROWS, DIRECT_ROWS, ROUNDS = 200_000, 2_000, 12
 BITS = 64
@@ -428,7 +428,7 @@ def near_copies(docs: DataFrame, radius: int = 4, key: str = "doc_id", text: str
     mostly are, and no pair below the similarity is. A null text counts as empty; all rows without words
     are one set. A text of any length is taken whole. An empty input gives none.
     """
-    made = _hashed(docs, key, text).mapInArrow(_sketched, "doc_id long, th long, sid long, n long, " + ", ".join(f"f{k} long" for k in range(SEEDS)))
+    made = _hashed(docs, key, text).mapInArrow(tidy(_sketched), "doc_id long, th long, sid long, n long, " + ", ".join(f"f{k} long" for k in range(SEEDS)))
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th")))
     nodes = made.groupBy("sid").agg(first.alias("one"), F.min("th").alias("any"), F.count("*").alias("n_rows"), F.first("n").alias("n"), *[F.first(f"f{k}").alias(f"f{k}") for k in range(SEEDS)])
     nodes = stash(nodes, "nodes")
@@ -437,7 +437,7 @@ def near_copies(docs: DataFrame, radius: int = 4, key: str = "doc_id", text: str
     rows = nodes.select(F.explode(keys).alias("k"), "sid").select("k.bucket", "sid", "k.fp", "k.n")
     pairs = members = None
     for depth in range(ROUNDS):
-        met = stash(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet(radius, depth), MET), "met")
+        met = stash(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_meet(radius, depth)), MET), "met")
         these, those = met.filter("kind = 0").select("a", "b"), met.filter("kind = 1").select("bucket", F.col("a").alias("sid"), "fp", "n")
         pairs, members = (these, those) if pairs is None else (pairs.unionAll(these), members.unionAll(those))
         rows = met.filter("kind = 2").select("bucket", F.col("a").alias("sid"), "fp", "n")
@@ -446,13 +446,13 @@ def near_copies(docs: DataFrame, radius: int = 4, key: str = "doc_id", text: str
     heads = stash(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     whole = _whole(docs, nodes, heads.select(F.col("a").alias("sid")).union(heads.select("b")), key, text)
     both = heads.join(whole.select(F.col("sid").alias("a"), "x"), "a").join(whole.select(F.col("sid").alias("b"), F.col("x").alias("y")), "b").select("a", "b", "x", "y")
-    links = stash(both.mapInArrow(_verify, "a long, b long"), "alike")
+    links = stash(both.mapInArrow(tidy(_verify), "a long, b long"), "alike")
     roots = components(links)
     known = members.join(roots, F.col("sid") == F.col("u"), "left").select("bucket", "sid", "fp", "n", F.coalesce("v", "sid").alias("root"))
-    apart = stash(known.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_open(radius), "bucket long, sid long, fp long, n long, root long"), "apart")
+    apart = stash(known.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_open(radius)), "bucket long, sid long, fp long, n long, root long"), "apart")
     if not apart.isEmpty():
         whole = _whole(docs, nodes, apart.select("sid"), key, text)
-        rest = apart.join(whole, "sid").select("bucket", "sid", "fp", "n", "root", "x").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_join(radius), "a long, b long")
+        rest = apart.join(whole, "sid").select("bucket", "sid", "fp", "n", "root", "x").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_join(radius)), "a long, b long")
         roots = components(links.unionAll(rest))
     return nodes.join(roots, F.col("sid") == F.col("u"), "left").select("sid", "one.doc_id", "one.th", "n_rows", F.coalesce("v", "sid").alias("root"))
 
@@ -464,7 +464,7 @@ def _whole(docs: DataFrame, nodes: DataFrame, sids: DataFrame, key: str, text: s
     if involved.count() <= BROADCAST_ROWS:
         texts = texts.join(F.broadcast(involved.select("th")), "th", "left_semi")
     once = texts.groupBy("th").agg(F.first("t").alias("t")).join(involved, "th").select("sid", "t")
-    return stash(once.mapInArrow(_sets, "sid long, x binary"), "whole-sets")
+    return stash(once.mapInArrow(tidy(_sets), "sid long, x binary"), "whole-sets")
 
 
 def keep_one(docs: DataFrame, radius: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
