@@ -31,11 +31,23 @@ SENTENCE_PENALTY, STRETCH_PENALTY, SEQUENCE_COST = 2.0, 24.0, 1.0
 PIECES = "row_no long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+def _jumps(pos: np.ndarray, powers: list[int]) -> dict[int, list[int]]:
+    """By index into ``pos``: the indices that lie just one of ``powers`` before it."""
+    place = np.full(pos[-1] + 1, -1)
+    place[pos] = np.arange(len(pos))
+    found: dict[int, list[int]] = {}
+    for w in powers:
+        later = np.flatnonzero(pos >= w)
+        at = place[pos[later] - w]
+        for j, k in zip(later[at >= 0].tolist(), at[at >= 0].tolist(), strict=True):
+            found.setdefault(j, []).append(k)
+    return found
+
+
 def best_cuts(pos: np.ndarray, penalty: np.ndarray, limit: int) -> list[int]:
     """Indices into ``pos`` of the window ends that cost least. pos[0] is 0, no gap exceeds ``limit``."""
-    place = {p: i for i, p in enumerate(pos.tolist())}
-    powers = [1 << k for k in range(limit.bit_length()) if LEAST_POWER <= 1 << k < limit]
-    p, pen = pos.tolist(), penalty.tolist()
+    jumps = _jumps(pos, [1 << k for k in range(limit.bit_length()) if LEAST_POWER <= 1 << k < limit])
+    p, pen = pos.tolist(), (penalty + SEQUENCE_COST).tolist()
     cost, back = [0.0] * len(p), [0] * len(p)
     queue: deque = deque([(0.0, 0)])  # (cost + position, index), increasing in both
     for j in range(1, len(p)):
@@ -44,11 +56,11 @@ def best_cuts(pos: np.ndarray, penalty: np.ndarray, limit: int) -> list[int]:
             queue.popleft()
         best, i = queue[0]
         best += limit - at
-        for w in powers:
-            k = place.get(at - w)
-            if k is not None and cost[k] < best:
-                best, i = cost[k], k
-        best += pen[j] + SEQUENCE_COST
+        if j in jumps:
+            for k in jumps[j]:
+                if cost[k] < best:
+                    best, i = cost[k], k
+        best += pen[j]
         cost[j], back[j] = best, i
         value = best + at
         while queue and queue[-1][0] >= value:
