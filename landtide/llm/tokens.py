@@ -12,6 +12,7 @@ from __future__ import annotations
 import gc
 import os
 from collections.abc import Iterable, Iterator
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ class Encoder:
         self.spaced = spaced
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added_begin = os.path.commonprefix(self.added)
+        # what an added token begins with in any case of its letters
+        self.added_mark = "".join(takewhile(lambda x: not x.isalpha(), self.added_begin))
         self.memo: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         # where in the ids of joined words each word begins (after a blank, or a line break) or ends
@@ -76,25 +79,25 @@ class Encoder:
             data = ids.tobytes()
             self.memo.update((w, data[4 * a : 4 * b]) for w, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
 
-    def _learn(self, chunks: list[str]) -> set[str]:
-        """Make every chunk known; returns those beside which white space doesn't stand alone or that hold an added token, which stay unknown."""
+    def _learn(self, chunks: list[str], plain: bool) -> set[str]:
+        """Make chunks known that aren't; returns those beside which white space doesn't stand alone or that hold an added token (not if ``plain``), which stay unknown."""
         memo = self.memo
         if len(memo) > MEMO_ENTRIES:
             memo.clear()
-        words: set[str] = set()
-        lines: set[str] = set()
+        words: dict[str, None] = {}
+        lines: dict[str, None] = {}
         marked, rest, lowered, bad = [], [], [], set()
-        for c in [c for c in chunks if c not in memo]:
-            if self._holds_added(c):
+        for c in chunks:
+            if not plain and self._holds_added(c):
                 bad.add(c)
                 continue
-            if not self.spaced and c.isascii() and (low := c.lower()) != c and not self._holds_added(low):
+            if not self.spaced and c.isascii() and (low := c.lower()) != c and (plain or not self._holds_added(low)):
                 lowered.append((c, low))
                 c = low
                 if c in memo:
                     continue
             if c.isalpha():
-                words.add(c)
+                words[c] = None
                 continue
             base = c.rstrip(_MARKS)
             line = self.spaced and base[:1] == "\n"
@@ -102,7 +105,7 @@ class Encoder:
                 if base is not c and len(base) < len(c):
                     marked.append((c, base))
                 if base not in memo:
-                    (lines if line else words).add(base)
+                    (lines if line else words)[base] = None
             elif self.spaced and (c in ("", "\n") or c[c[0] == "\n"].isspace() or c[-1].isspace()):
                 bad.add(c)
             else:
@@ -134,10 +137,14 @@ class Encoder:
             cut = pc.replace_substring(pc.replace_substring(own, "\n", " "), "\t", " ")
         parts = pc.split_pattern(cut, " ")
         coded = parts.flatten().dictionary_encode()
-        index, chunks = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        index, chunks = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))])
-        bad = self._learn(chunks)
-        known = [b"" if c in bad else self.memo[c] for c in chunks] if bad else list(map(self.memo.__getitem__, chunks))
+        known = list(map(self.memo.get, chunks))
+        new = [i for i, k in enumerate(known) if k is None]
+        plain = not self.added or (self.added_mark != "" and not pc.any(pc.match_substring(own, self.added_mark)).as_py())
+        bad = self._learn([chunks[i] for i in new], plain)
+        for i in new:
+            known[i] = b"" if chunks[i] in bad else self.memo[chunks[i]]
         lengths = np.fromiter(map(len, known), "i8", len(known)) // 4
         pool = np.frombuffer(b"".join(known), "<u4")
         n = lengths[index]
