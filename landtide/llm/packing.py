@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .shared import table
+from .shared import table, tidy
 
 BLOCK_TOKENS, STRETCH, STEP, LEAST_POWER = 1_000_000, 192, 64, 128
 SENTENCE_PENALTY, STRETCH_PENALTY, SEQUENCE_COST = 2.0, 24.0, 1.0
@@ -157,7 +157,7 @@ def pack(docs: DataFrame, limit: int = 1024, path: str | None = None, end_id: in
     kept, an empty input gives no row. Other columns are not read.
     """
     src = docs.select(F.col(key).cast("long").alias("row_no"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    return src.mapInArrow(_packer(path or tokens.vocabulary("byte_bpe_50k.json"), limit, end_id), PIECES).withColumnRenamed("row_no", "doc_id")
+    return src.mapInArrow(tidy(_packer(path or tokens.vocabulary("byte_bpe_50k.json"), limit, end_id)), PIECES).withColumnRenamed("row_no", "doc_id")
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
