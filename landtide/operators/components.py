@@ -46,7 +46,7 @@ def _label(pdf: pd.DataFrame) -> pd.DataFrame:
     grid[at[0][order], at[1][order]] = np.arange(len(ids))
     parent = np.arange(len(ids))
     near = [grid[at[0] + dy, at[1] + dx][order] for dy, dx in FORWARD]
-    links = np.array([(i, j) for n in near for i, j in zip(np.flatnonzero(n != none), n[n != none], strict=True)], "i8").reshape(-1, 2)
+    links = np.concatenate([np.column_stack([np.flatnonzero(n != none), n[n != none]]) for n in near])
     while True:
         low = np.minimum(parent[links[:, 0]], parent[links[:, 1]])
         new = parent.copy()
