@@ -86,6 +86,18 @@ def by_library(name, text):
     return np.array(FRESH.setdefault(name, Tokenizer.from_file(tokens.vocabulary(name))).encode(text or "", add_special_tokens=False).ids, "<u4")
 
 
+@pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_memo_that_starts_anew(name, spaced, monkeypatch):
+    """Slices with and without added tokens, in any case, while the memo is emptied again and again."""
+    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 20)
+    path, rng = tokens.vocabulary(name), np.random.default_rng(5)
+    library, e = Tokenizer.from_file(path), tokens.Encoder(path, spaced)
+    bits = ["<|endoftext|>", "<|EndOfText|>", "<|", "Hello", " ", " ", "\n", "world.", "İstanbul", "a,b", "!!!", "12", "naïve"]
+    for turn in range(60):
+        texts = ["".join(rng.choice(bits[3 * (turn % 2) :], 8)) for _ in range(10)]
+        assert e.encode_many(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_op8_of_every_document(spark):
     """The registered query, against a fresh tokenizer on whole texts."""
     rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
