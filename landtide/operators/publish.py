@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,30 +38,66 @@ def link(path: Column, base: str) -> Column:
     return F.when(path.rlike("^https?://"), path).when(path != "", F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(path, "^/+", "")))
 
 
-def signals(alerts: DataFrame, base: str, language: str) -> DataFrame:
-    """alerts: id, state, detected, ha, lat, lon, class, status, photo, sites (array of codes). Active alerts as signals in (detected, id) order; parcels never appear."""
+def current(alerts: DataFrame, base: str, language: str) -> DataFrame:
+    """alerts: id, state, detected, ha, lat, lon, class, status, photo, sites (array of codes). Active alerts as signals, in no order; parcels never appear."""
     return alerts.filter(F.col("state").isin(*ACTIVE)).select(
         "id", F.col("detected").cast("string").alias("detected"), F.round("ha", 2).alias("ha"), F.array("lon", "lat").alias("point"), F.col("class").alias("title"),
         names(F.col("status"), STATUS_NAMES[language]).alias("permit"), link(F.col("photo"), base).alias("image"), F.transform(F.array_sort(F.array_distinct("sites")), lambda s: F.struct(s.alias("code"))).alias("sites"),
-    ).orderBy("detected", "id")
+    )
+
+
+def signals(alerts: DataFrame, base: str, language: str) -> DataFrame:
+    """Active alerts as signals in (detected, id) order."""
+    return current(alerts, base, language).orderBy("detected", "id")
 
 
 def document(found: DataFrame, country: str, generated: Column) -> DataFrame:
-    """One row: the country's signals in order, its sites and when it was made (to the minute, UTC)."""
-    codes = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform("sites", lambda s: s["code"])))))
-    rows = F.array_sort(F.collect_list(F.struct("detected", "id", "ha", "point", "title", "permit", "image", "sites")))
-    out = found.agg(rows.alias("signals"), codes.alias("sites"), F.count("*").alias("n"))
-    return out.select(F.lit(country).alias("country"), F.date_format(generated, "yyyy-MM-dd'T'HH:mm'Z'").alias("generated"), "n", "sites", "signals")
+    """The country's document as rows, so that none holds all its signals: a head (n signals, codes of its sites), then a row for each signal as found; all say when it was made (to the minute, UTC)."""
+    made = [F.lit(country).alias("country"), F.date_format(generated, "yyyy-MM-dd'T'HH:mm'Z'").alias("generated")]
+    by_code = found.select(F.posexplode_outer("sites").alias("at", "site")).groupBy("site").agg(F.count("at").alias("uses"), F.count_if(F.coalesce("at", F.lit(0)) == 0).alias("firsts"))
+    codes = F.array_sort(F.collect_list(F.when(F.col("uses") > 0, F.col("site"))))["code"]
+    head = by_code.agg(F.coalesce(F.sum("firsts"), F.lit(0)).alias("n"), codes.alias("codes")).select(F.lit(True).alias("head"), *made, "n", "codes")
+    return head.unionByName(found.select(F.lit(False).alias("head"), *made, *found.columns), allowMissingColumns=True)
 
 
 def combine(documents: DataFrame) -> DataFrame:
-    """Documents of countries in one: ES alone stays version 1; else version 2 with a coverage map and ES first."""
+    """Documents of countries in one, as rows in order: a head (version, coverage, n), then the signals by country, detected and id. ES alone stays version 1; else version 2 with a coverage map and ES first."""
     order = F.when(F.col("country") == "ES", 0).otherwise(1)
-    rows = F.array_sort(F.collect_list(F.struct(order.alias("o"), "country", "generated", "n", "signals")))
-    out = documents.agg(rows.alias("d"))
-    return out.select(
-        F.when((F.size("d") == 1) & (F.get("d", F.lit(0))["country"] == "ES"), 1).otherwise(2).alias("version"), F.map_from_entries(F.transform("d", lambda x: F.struct(x["country"], x["generated"]))).alias("coverage"), F.flatten(F.transform("d", lambda x: x["signals"])).alias("signals")
+    out = documents.filter("head").agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), "country", "generated"))).alias("d"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    head = out.select(
+        F.lit(True).alias("head"), F.when((F.size("d") == 1) & (F.get("d", F.lit(0))["country"] == "ES"), 1).otherwise(2).alias("version"), F.map_from_entries(F.transform("d", lambda x: F.struct(x["country"], x["generated"]))).alias("coverage"), "n"
     )
+    rows = documents.filter("not head").orderBy(order, "country", "detected", "id").drop("generated", "n", "codes")
+    return head.unionByName(rows, allowMissingColumns=True)
+
+
+#: Values in a piece of a text that is digested: short enough that a batch of pieces is small.
+PIECE = 256
+
+
+def digest(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """One row: the MD5 of the values, joined by commas in the order of the rows; null for none. Values are joined to pieces where they lie, and the pieces go through one task in turn, so the whole text is nowhere held."""
+
+    def pieces(batches):
+        at, k = TaskContext.get().partitionId(), 0
+        for b in batches:
+            found = b.column(0).drop_null()
+            starts = range(0, len(found), PIECE)
+            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array([*starts, len(found)], pa.int32()), found), ",")
+            yield pa.RecordBatch.from_arrays([pa.array([at] * len(starts), pa.int32()), pa.array(range(k, k + len(starts)), pa.int64()), texts], ["at", "k", "piece"])
+            k += len(starts)
+
+    def folded(batches):
+        made, comma = hashlib.md5(usedforsecurity=False), b""
+        for b in batches:
+            for piece in b.column(2):
+                made.update(comma + piece.as_py().encode())
+                comma = b","
+        if comma:
+            yield pa.RecordBatch.from_arrays([pa.array([made.hexdigest()])], [name])
+
+    ordered = rows.select(value).mapInArrow(pieces, "at int, k long, piece string").repartition(1).sortWithinPartitions("at", "k")
+    return ordered.mapInArrow(folded, f"{name} string").agg(F.max(name).alias(name))
 
 
 def feed(alerts: DataFrame, p: Params = PARAMS) -> DataFrame:

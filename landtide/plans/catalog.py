@@ -729,15 +729,15 @@ def signals(spark, d):
 
 @query("signals_document", f"WITH {SQL_SIGNALS} SELECT 'ES' AS country, '2026-10-13T07:02Z' AS generated, count(*) AS n, md5(array_to_string(list(id ORDER BY detected, id), ',')) AS ids FROM si")
 def signals_document(spark, d):
-    made = publish.document(publish.signals(registry(spark, d), "https://example.org", "es"), "ES", F.lit("2026-10-13 07:02:41").cast("timestamp"))
-    return made.select("country", "generated", "n", F.md5(F.array_join("signals.id", ",")).alias("ids"))
+    made = publish.document(publish.current(registry(spark, d), "https://example.org", "es"), "ES", F.lit("2026-10-13 07:02:41").cast("timestamp"))
+    return made.filter("head").select("country", "generated", "n").crossJoin(publish.digest(made.filter("not head").orderBy("detected", "id"), "id", "ids"))
 
 
 @query("signals_combined", f"WITH {SQL_SIGNALS} SELECT 2 AS version, 2 * count(*) AS n, md5(array_to_string(list(id ORDER BY detected, id), ',') || ',' || array_to_string(list(id ORDER BY detected, id), ',')) AS ids FROM si")
 def signals_combined(spark, d):
     stamp = F.lit("2026-10-13 07:02:41").cast("timestamp")
-    both = publish.document(publish.signals(registry(spark, d), "https://example.org", "fr"), "FR", stamp).unionByName(publish.document(publish.signals(registry(spark, d), "https://example.org", "es"), "ES", stamp))
-    return publish.combine(both).select("version", F.size("signals").cast("long").alias("n"), F.md5(F.array_join("signals.id", ",")).alias("ids"))
+    made = publish.combine(publish.document(publish.current(registry(spark, d), "https://example.org", "fr"), "FR", stamp).unionByName(publish.document(publish.current(registry(spark, d), "https://example.org", "es"), "ES", stamp)))
+    return made.filter("head").select("version", "n").crossJoin(publish.digest(made.filter("not head"), "id", "ids"))
 
 
 @query("atom_feed", f"WITH {SQL_REGISTRY} SELECT id, '<entry><id>' || id || '</id><title>' || class || '</title><updated>' || detected || 'T00:00:00Z</updated></entry>' AS entry FROM reg WHERE state IN ('provisional', 'confirmada') ORDER BY detected DESC, id LIMIT 100")

@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 import json
 import random
 
@@ -135,6 +136,26 @@ def test_signals(spark):
     assert one.first()["generated"] == "2026-10-13T07:02Z" and publish.combine(one).first()["version"] == 1
 
 
+def test_signals_of_documents_in_rows(spark):
+    n, stamp = 3000, F.lit("2026-10-13 07:02:41").cast("timestamp")
+    alerts = spark.range(0, n, 1, 3).select(
+        F.format_string("a%04d", "id").alias("id"), F.lit("provisional").alias("state"), F.date_add(F.lit("2026-09-01"), (F.col("id") % 7).cast("int")).alias("detected"), F.lit(1.0).alias("ha"), F.lit(43.0).alias("lat"), F.lit(-3.0).alias("lon"), F.lit("suelo").alias("class"), F.lit("pendiente").alias("status"),
+        F.lit("f.jpg").alias("photo"), F.when(F.col("id") % 5 > 1, F.array(F.format_string("S%d", F.col("id") % 5), F.lit("S9"))).when(F.col("id") % 5 == 1, F.array().cast("array<string>")).alias("sites"),
+    )
+    documents = publish.document(publish.signals(alerts, "https://x.org/", "fr"), "FR", stamp).unionByName(publish.document(publish.current(alerts, "https://x.org/", "es"), "ES", stamp))
+    made = publish.combine(documents)
+    for frame in documents, made:  # no row grows with the signals
+        assert frame.count() in (2 * n + 1, 2 * n + 2) and frame.agg(F.max(F.length(F.to_json(F.struct("*"))))).first()[0] < 1000
+    assert [(r["n"], r["codes"], r["id"]) for r in documents.filter("head").collect()] == [(n, ["S2", "S3", "S4", "S9"], None)] * 2
+    head, *rows = made.collect()
+    assert (head["version"], head["coverage"], head["n"]) == (2, {"ES": "2026-10-13T07:02Z", "FR": "2026-10-13T07:02Z"}, 2 * n)
+    ids = [f"a{i:04d}" for i in sorted(range(n), key=lambda i: (i % 7, i))]
+    assert [(r["country"], r["id"]) for r in rows] == [(k, x) for k in ("ES", "FR") for x in ids] and rows[-1]["permit"] == "Parcelles à consulter"
+    assert publish.digest(made.filter("not head"), "id", "m").collect() == [(hashlib.md5(",".join(ids + ids).encode()).hexdigest(),)]
+    none = publish.document(publish.current(alerts.filter("id is null"), "https://x.org/", "es"), "ES", stamp)
+    assert [(r["country"], r["n"], r["codes"]) for r in none.collect()] == [("ES", 0, [])] and publish.digest(none.filter("not head"), "id", "m").collect() == [(None,)]
+
+
 def test_nearest_of_a_large_layer(spark):
     rng = random.Random(3)
     # a dense town, a sparse country and a few wide zones, over 10,000 in all
